@@ -28,6 +28,7 @@ from ..sources import fixture as fx
 from ..sources.export import export_snapshots, export_table_csv, lineage_columns
 from ..sources.snapshots import read_lookup_csv, read_snapshots, typed_projection
 from . import pipeline
+from .layers import materialized, written_once
 from .star import age_band_totals, build_census, build_fact, build_owners, fill_missing_region, \
     host_listing_count, load_raw
 
@@ -62,29 +63,47 @@ def query(fn: Query) -> Query:
 
 
 # --------------------------------------------------------------------------- inputs
+# Upstream layers are written once per application and read back (see layers).
+def _rows(spark, d):
+    return materialized(spark, d, "rows", lambda: fx.listing_rows(spark, d))
+
+
 def _raw(spark, d):
-    return load_raw(fx.listing_rows(spark, d))
+    return materialized(spark, d, "raw", lambda: load_raw(_rows(spark, d)))
 
 
-def _star(spark, d):
-    raw = _raw(spark, d)
-    loc = fx.locality_lookup(spark, d)
-    moved = moved_ids(raw)
+def _location(spark, d):
+    return materialized(spark, d, "location", lambda: fx.locality_lookup(spark, d))
+
+
+def _build_star(spark, d):
+    raw, loc = _raw(spark, d), _location(spark, d)
+    moved = materialized(spark, d, "moved", lambda: moved_ids(raw))
     return build_fact(raw, loc, moved), build_owners(raw, loc, moved)
 
 
+def _star(spark, d):
+    fact = materialized(spark, d, "fact", lambda: _build_star(spark, d)[0])
+    owners = materialized(spark, d, "owners", lambda: _build_star(spark, d)[1])
+    return fact, owners
+
+
 def _fact(spark, d):
     return _star(spark, d)[0]
 
 
 def _census_parts(spark, d):
-    return fx.census_g01(spark, d), fx.census_g02(spark, d)
+    return (materialized(spark, d, "g01", lambda: fx.census_g01(spark, d)),
+            materialized(spark, d, "g02", lambda: fx.census_g02(spark, d)))
+
+
+def _snapshot_files(spark, d, compression=None):
+    name = f"snapshots-{compression or 'plain'}"
+    return written_once(spark, d, name, lambda p: export_snapshots(_rows(spark, d), p, compression))
 
 
 def _csv_rows(spark, d, compression=None):
-    root = scratch_path(spark, "snapshots")
-    export_snapshots(fx.listing_rows(spark, d), root, compression)
-    return read_snapshots(spark, root)
+    return read_snapshots(spark, _snapshot_files(spark, d, compression))
 
 
 # --------------------------------------------------------------------------- sources
@@ -119,13 +138,13 @@ def file_lineage(spark, d):
 
 @query
 def csv_lookup_scan(spark, d):
-    path = export_table_csv(fx.locality_lookup(spark, d), scratch_path(spark, "location"))
+    path = written_once(spark, d, "location-csv", lambda p: export_table_csv(_location(spark, d), p))
     return read_lookup_csv(spark, path, LOCATION_SCHEMA)
 
 
 @query
 def csv_census_scan(spark, d):
-    path = export_table_csv(fx.census_g01(spark, d), scratch_path(spark, "g01"))
+    path = written_once(spark, d, "g01-csv", lambda p: export_table_csv(_census_parts(spark, d)[0], p))
     return read_lookup_csv(spark, path, G01_SCHEMA)
 
 
@@ -136,15 +155,15 @@ def load_snapshots(spark, d):
 
 @query
 def load_lookup(spark, d):
-    path = export_table_csv(fx.locality_lookup(spark, d), scratch_path(spark, "location"))
+    path = written_once(spark, d, "location-csv", lambda p: export_table_csv(_location(spark, d), p))
     return first_per_key(read_lookup_csv(spark, path, LOCATION_SCHEMA), LOCATION_KEY)
 
 
 @query
 def load_census(spark, d):
     g01, g02 = _census_parts(spark, d)
-    p1 = export_table_csv(g01, scratch_path(spark, "g01"))
-    p2 = export_table_csv(g02, scratch_path(spark, "g02"))
+    p1 = written_once(spark, d, "g01-csv", lambda p: export_table_csv(g01, p))
+    p2 = written_once(spark, d, "g02-csv", lambda p: export_table_csv(g02, p))
     raw_dir = scratch_path(spark, "raw-census")
     pipeline.replace_table(read_lookup_csv(spark, p1, G01_SCHEMA), f"{raw_dir}/g01")
     pipeline.replace_table(read_lookup_csv(spark, p2, G02_SCHEMA), f"{raw_dir}/g02")
@@ -154,7 +173,7 @@ def load_census(spark, d):
 # --------------------------------------------------------------------------- sinks / keys
 @query
 def typed_projection_roundtrip(spark, d):
-    rows = fx.listing_rows(spark, d)
+    rows = _rows(spark, d)
     as_text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
     return typed_projection(as_text, RAW_LISTING_SCHEMA)
 
@@ -169,7 +188,7 @@ def first_per_key_lineitem(spark, d):
 
 @query
 def insert_if_absent_snapshots(spark, d):
-    rows = fx.listing_rows(spark, d)
+    rows = _rows(spark, d)
     early = rows.filter(F.year(F.to_date("calendar_last_scraped")) <= 1998)
     existing = load_raw(early).withColumn("name", F.concat(F.lit("old "), F.col("name")))
     merged = insert_if_absent(rows, existing, ["id", "filename"])
@@ -199,7 +218,7 @@ def audit_null_key_region(spark, d):
 
 @query
 def audit_duplicate_key_raw(spark, d):
-    return audit_duplicate_key(fx.listing_rows(spark, d), ["id", "filename"])
+    return audit_duplicate_key(_rows(spark, d), ["id", "filename"])
 
 
 @query
@@ -225,7 +244,7 @@ def avg_rating_not_missing(spark, d):
 
 @query
 def price_mixed_format_rows(spark, d):
-    rows = fx.listing_rows(spark, d)
+    rows = _rows(spark, d)
     return rows.select("id", "filename", F.col("price").alias("price_text"),
                        price_mixed_format("price").cast("double").alias("price"))
 
@@ -274,7 +293,7 @@ def census_join(spark, d):
 @query
 def lookup_upper(spark, d):
     raw = _raw(spark, d)
-    out = lookup_region(raw, "neighbourhood_cleansed", fx.locality_lookup(spark, d), trim=False)
+    out = lookup_region(raw, "neighbourhood_cleansed", _location(spark, d), trim=False)
     return out.select("id", "filename", "neighbourhood_cleansed", "lga_code")
 
 
@@ -282,7 +301,7 @@ def lookup_upper(spark, d):
 def lookup_trim_upper(spark, d):
     raw = _raw(spark, d)
     name = F.split_part(F.col("host_location"), F.lit(","), F.lit(1))
-    out = lookup_region(raw, name, fx.locality_lookup(spark, d), trim=True)
+    out = lookup_region(raw, name, _location(spark, d), trim=True)
     return out.select("id", "filename", "host_id", "lga_code")
 
 
@@ -415,7 +434,11 @@ def kpi_host_region_month(spark, d):
 
 @query
 def pipeline_end_to_end(spark, d):
-    root = scratch_path(spark, "pipeline")
-    inputs = pipeline.export_inputs(spark, d, f"{root}/in")
-    out = pipeline.run(spark, inputs, f"{root}/out")
+    inputs = {
+        "listings": _snapshot_files(spark, d),
+        "location": written_once(spark, d, "location-csv", lambda p: export_table_csv(_location(spark, d), p)),
+        "g01": written_once(spark, d, "g01-csv", lambda p: export_table_csv(_census_parts(spark, d)[0], p)),
+        "g02": written_once(spark, d, "g02-csv", lambda p: export_table_csv(_census_parts(spark, d)[1], p)),
+    }
+    out = pipeline.run(spark, inputs, scratch_path(spark, "pipeline"))
     return spark.read.parquet(out["kpi_region_month"])
