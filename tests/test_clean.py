@@ -1,0 +1,55 @@
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from staykit.functions.clean import (host_city, norm_key, not_missing, null_tokens, parse_money,
+                                     price_mixed_format, snapshot_date, snapshot_month, snapshot_year)
+
+
+def one(spark, expr, value, dtype="string"):
+    df = spark.createDataFrame([(value,)], f"v {dtype}")
+    return df.select(expr(F.col("v")).alias("r")).first()["r"]
+
+
+def test_parse_money_thousands_and_sign(spark):
+    assert one(spark, parse_money, "$1,250.00") == Decimal("1250.00")
+    assert one(spark, parse_money, "$85.50") == Decimal("85.50")
+    # text before the currency sign (a minus) is lost, as in the original
+    assert one(spark, parse_money, "-$5.00") == Decimal("5.00")
+
+
+def test_parse_money_bad_text_is_null_not_error(spark):
+    assert one(spark, parse_money, "") is None
+    assert one(spark, parse_money, "150.0") is None  # no '$': nothing after it
+    assert one(spark, parse_money, "$abc") is None
+
+
+def test_price_regimes(spark):
+    assert one(spark, price_mixed_format, "$1,250.00") == Decimal("1250.00")
+    assert one(spark, price_mixed_format, "150") == Decimal("150.00")
+    assert one(spark, price_mixed_format, " 99.5 ") == Decimal("99.50")
+    assert one(spark, price_mixed_format, None) is None
+
+
+def test_snapshot_date_from_name_or_folder(spark):
+    assert one(spark, snapshot_date, "dags/listings/2020-07-01.csv") == dt.date(2020, 7, 1)
+    assert one(spark, snapshot_date, "s3a://b/x/snapshot=2021-02-01/part-0001.c000.csv.gz") == dt.date(2021, 2, 1)
+    assert one(spark, snapshot_date, "dags/listings/notes.csv") is None
+    assert one(spark, snapshot_month, "a/2020-12-01.csv") == 12
+    assert one(spark, snapshot_year, "a/2020-12-01.csv") == 2020
+
+
+def test_host_city_upper_untrimmed_and_key_trim(spark):
+    assert one(spark, host_city, " sydney , NSW, Australia") == " SYDNEY "
+    assert one(spark, lambda c: norm_key(host_city(c), trim=True), " sydney , NSW") == "SYDNEY"
+    assert one(spark, lambda c: norm_key(c, trim=False), " Bondi ") == " BONDI "
+
+
+def test_null_tokens_and_not_missing(spark):
+    assert one(spark, null_tokens, "N/A") is None
+    assert one(spark, null_tokens, "NaN") is None
+    assert one(spark, null_tokens, "Bondi") == "Bondi"
+    assert one(spark, not_missing, float("nan"), "double") is False
+    assert one(spark, not_missing, None, "double") is False
+    assert one(spark, not_missing, 4.5, "double") is True
