@@ -442,3 +442,13 @@ def pipeline_end_to_end(spark, d):
     }
     out = pipeline.run(spark, inputs, scratch_path(spark, "pipeline"))
     return spark.read.parquet(out["kpi_region_month"])
+
+
+@query
+def incremental_load(spark, d):
+    """The snapshot load as an availableNow file stream with keyed appends."""
+    from ..streaming.incremental import run_available
+
+    root = scratch_path(spark, "stream")
+    raw = run_available(spark, _snapshot_files(spark, d), f"{root}/raw", f"{root}/_checkpoint")
+    return lineage_columns(raw)
