@@ -99,24 +99,25 @@ def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
     sup = owners.select("host_id", is_true_flag("host_is_superhost").alias("sup"))
     per_host = per_host.join(sup, "host_id", "left")
 
+    key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in g])
     grp = per_host.groupBy(*g).agg(
         *[F.sum(c).alias(c) for c in ("na", "ni", "n", "psum", "pcnt", "rsum", "rcnt", "ssum", "scnt", "rev")],
         F.min("pmin").alias("pmin"), F.max("pmax").alias("pmax"),
         F.count("host_id").alias("h"),
         F.count(F.when(F.col("sup"), F.col("host_id"))).alias("h1"),
-    )
-    med = exact_median(f.filter(active), g, "price", "pmed")
-    med = med.select(*[F.col(k).alias(f"_m{i}") for i, k in enumerate(g)], "pmed")
-    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_m{i}")) for i, k in enumerate(g)])
-    grp = grp.join(med, on, "left").drop(*[f"_m{i}" for i in range(len(g))])
+    ).filter(key_ok)
+    # NULL-key groups never reach the output (and sit in window partitions
+    # of their own), so both sides drop them and join on plain equality:
+    # the aggregate outputs are already hash-partitioned by the group key.
+    med = exact_median(f.filter(active & key_ok), g, "price", "pmed")
+    grp = grp.join(med, g, "left")
 
     grp = mom_change(grp, keys, "na", "change_for_active_listings")
     grp = mom_change(grp, keys, "ni", "change_for_inactive_listings")
 
-    key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in g])
-    left = (F.col("na") > 0) & (F.col("rcnt") > 0) & (F.col("h1") > 0) & key_ok
+    left = (F.col("na") > 0) & (F.col("rcnt") > 0) & (F.col("h1") > 0)
     gated = lambda c: F.when(left, c)
-    out = grp.filter(key_ok & (left | (F.col("ni") > 0))).select(
+    out = grp.filter(left | (F.col("ni") > 0)).select(
         *g,
         gated(_ratio(F.col("na"), F.col("n")) * 100).alias("Active_listings_rate"),
         gated(F.col("pmin").cast("double")).alias("min_price"),

@@ -400,13 +400,15 @@ def mom_change_segment(spark, d):
 # --------------------------------------------------------------------------- composite jobs
 @query
 def star_fact(spark, d):
-    f = _fact(spark, d)
+    """The fact build itself, from the raw layer (moved set included)."""
+    f = build_fact(_raw(spark, d), _location(spark, d))
     return f.withColumn("price", F.col("price").cast("double"))
 
 
 @query
 def star_owner(spark, d):
-    return _star(spark, d)[1]
+    """The owner build itself, from the raw layer (moved set included)."""
+    return build_owners(_raw(spark, d), _location(spark, d))
 
 
 @query

@@ -63,10 +63,16 @@ def parse_header(line: str) -> tuple[str, ...]:
     return tuple(next(csv.reader([line.lstrip("\ufeff")])))
 
 
-def group_by_header(spark: SparkSession, files: Iterable[str]) -> dict[tuple[str, ...], list[str]]:
+def group_by_header(spark: SparkSession, files: Iterable[str], threads: int = 16) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their header; headers are probed concurrently."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    files = list(files)
+    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+        headers = list(pool.map(lambda f: parse_header(first_line(spark, f)), files))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for f in files:
-        groups[parse_header(first_line(spark, f))].append(f)
+    for f, h in zip(files, headers):
+        groups[h].append(f)
     return dict(groups)
 
 
