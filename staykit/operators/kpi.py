@@ -67,11 +67,14 @@ def _prepare(fact: DataFrame, keys: Sequence[str], string_keys: Sequence[str]) -
 
 
 def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
-               string_keys: Sequence[str] = ()) -> DataFrame:
+               string_keys: Sequence[str] = (), median: str = "exact",
+               approx_accuracy: int = 10_000) -> DataFrame:
     """The 13-measure KPI block by ``keys`` × (year, month).
 
     ``string_keys`` are text keys whose missing value is the text ``NaN``
     (a group of its own); every other key drops its NULL groups.
+    ``median="approx"`` opts into ``percentile_approx`` (bounded sketch,
+    not equal to the exact interpolated median); the default is exact.
     """
     keys = list(keys)
     g = keys + list(TIME_KEYS)
@@ -109,7 +112,13 @@ def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
     # NULL-key groups never reach the output (and sit in window partitions
     # of their own), so both sides drop them and join on plain equality:
     # the aggregate outputs are already hash-partitioned by the group key.
-    med = exact_median(f.filter(active & key_ok), g, "price", "pmed")
+    if median == "exact":
+        med = exact_median(f.filter(active & key_ok), g, "price", "pmed")
+    elif median == "approx":
+        med = (f.filter(active & key_ok).groupBy(*g)
+               .agg(F.percentile_approx("price", 0.5, approx_accuracy).alias("pmed")))
+    else:
+        raise ValueError(f"median must be 'exact' or 'approx', not {median!r}")
     grp = grp.join(med, g, "left")
 
     grp = mom_change(grp, keys, "na", "change_for_active_listings")

@@ -37,15 +37,20 @@ def exclude_moved(raw: DataFrame, moved: DataFrame | None = None, id_col: str =
     return raw.join(moved, id_col, "left_anti")
 
 
-def reduced_lookup(location: DataFrame, trim: bool, max_rows: int = 200_000) -> DataFrame:
+def reduced_lookup(location: DataFrame, trim: bool, max_rows: int = 200_000,
+                   state: str | None = None) -> DataFrame:
     """Locality lookup reduced to one row per normalised name.
 
     Names are compared upper-cased (and trimmed when ``trim``).  Where a
     name has several rows the original fanned out and then kept an
     arbitrary one; here the row with the smallest (LGA_CODE, LOCALITY_TYPE,
-    POSTCODE, STATE, LOCALITY_ID, LGA_NAME) wins.  The reduced lookup is
-    broadcast only after its size has been checked.
+    POSTCODE, STATE, LOCALITY_ID, LGA_NAME) wins.  ``state`` optionally
+    restricts the lookup to one state, so a name shared with another state
+    cannot give the wrong region (the original did not restrict it).  The
+    reduced lookup is broadcast only after its size has been checked.
     """
+    if state is not None:
+        location = location.filter(F.col("STATE") == state)
     keyed = location.select(
         norm_key("LOCALITY_NAME", trim).alias(LOOKUP_KEY), "LGA_CODE", "LOCALITY_TYPE",
         "POSTCODE", "STATE", "LOCALITY_ID", "LGA_NAME")
@@ -55,9 +60,9 @@ def reduced_lookup(location: DataFrame, trim: bool, max_rows: int = 200_000) ->
 
 
 def lookup_region(df: DataFrame, name_col, location: DataFrame, trim: bool,
-                  out_col: str = "lga_code") -> DataFrame:
+                  out_col: str = "lga_code", state: str | None = None) -> DataFrame:
     """Left join a region code by a place name (upper-cased, trimmed if asked)."""
-    lk = reduced_lookup(location, trim)
+    lk = reduced_lookup(location, trim, state=state)
     keyed = df.withColumn(LOOKUP_KEY, norm_key(name_col, trim))
     return (keyed.join(lk, LOOKUP_KEY, "left")
             .withColumnRenamed("LGA_CODE", out_col).drop(LOOKUP_KEY))

@@ -454,3 +454,17 @@ def incremental_load(spark, d):
     root = scratch_path(spark, "stream")
     raw = run_available(spark, _snapshot_files(spark, d), f"{root}/raw", f"{root}/_checkpoint")
     return lineage_columns(raw)
+
+
+@query
+def load_quality_report(spark, d):
+    from ..operators.quality import load_quality
+
+    return load_quality(_raw(spark, d))
+
+
+@query
+def kpi_null_key_report(spark, d):
+    from ..operators.quality import kpi_null_keys
+
+    return kpi_null_keys(_fact(spark, d), REGION_KEYS)

@@ -109,16 +109,20 @@ def typed_projection(df: DataFrame, schema: T.StructType = RAW_LISTING_SCHEMA) -
 
 
 def read_csv_by_header(spark: SparkSession, root: str, schema: T.StructType,
-                       dropped: Sequence[str] = (), lineage: bool = True) -> DataFrame:
+                       dropped: Sequence[str] = (), lineage: bool = True,
+                       multi_line: bool = True) -> DataFrame:
     """Every CSV under ``root``, read once per distinct header, typed to ``schema``.
 
     ``dropped`` columns go when present; unknown extra columns are dropped
-    too (the original's insert would have failed on them).
+    too (the original's insert would have failed on them).  ``multi_line``
+    allows quoted line breaks (one task per file); files known to hold none
+    can be read with ``multi_line=False``, which splits large files.
     """
     groups = group_by_header(spark, list_files(spark, root))
     if not groups:
         return spark.createDataFrame([], schema)
-    frames = [read_csv_group(spark, h, fs).drop(*dropped) for h, fs in sorted(groups.items())]
+    opts = {"multiLine": "true" if multi_line else "false"}
+    frames = [read_csv_group(spark, h, fs, opts).drop(*dropped) for h, fs in sorted(groups.items())]
     if not lineage:
         frames = [f.drop("filename") for f in frames]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -126,9 +130,9 @@ def read_csv_by_header(spark: SparkSession, root: str, schema: T.StructType,
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: T.StructType = RAW_LISTING_SCHEMA,
-                   dropped: Sequence[str] = DROPPED_LISTING_COLUMNS) -> DataFrame:
+                   dropped: Sequence[str] = DROPPED_LISTING_COLUMNS, multi_line: bool = True) -> DataFrame:
     """All listing snapshot files under ``root`` as one typed frame with ``filename``."""
-    return read_csv_by_header(spark, root, schema, dropped, lineage=True)
+    return read_csv_by_header(spark, root, schema, dropped, lineage=True, multi_line=multi_line)
 
 
 def read_lookup_csv(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:

@@ -28,3 +28,10 @@ def test_lookup_upper_vs_trim_upper(spark):
 def test_reduced_lookup_one_row_per_name(spark):
     loc = spark.createDataFrame(LOC, LOCATION_SCHEMA)
     assert reduced_lookup(loc, trim=True).count() == 2
+
+
+def test_state_filter_picks_the_right_region(spark):
+    loc = spark.createDataFrame(LOC, LOCATION_SCHEMA)
+    df = spark.createDataFrame([("Bondi",)], "place string")
+    nsw = lookup_region(df, "place", loc, trim=True, state="NSW").first().lga_code
+    assert nsw == "LGA_B"  # without the filter the VIC row (smaller code) would win

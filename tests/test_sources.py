@@ -56,3 +56,11 @@ def test_lookup_csv_by_name(spark, scratch):
 
 def test_parse_header_quotes():
     assert parse_header('﻿id,"host, name",x') == ("id", "host, name", "x")
+
+
+def test_single_line_mode_reads_same_rows(spark, scratch):
+    root = local_dir(scratch("csv"))
+    write(root, "2020-01-01.csv", "id,host_id,price\n1,10,\"$1,250.00\"\n2,11,$5.00\n")
+    a = sorted(tuple(r) for r in read_snapshots(spark, root).select("id", "price").collect())
+    b = sorted(tuple(r) for r in read_snapshots(spark, root, multi_line=False).select("id", "price").collect())
+    assert a == b == [(1, "$1,250.00"), (2, "$5.00")]
