@@ -37,6 +37,27 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def cluster_conf(total_cores: int, partition_mb: int = 256) -> dict[str, str]:
+    """Settings for a large cluster (pass to ``SparkSession.builder.config``).
+
+    Shuffles start with ~3 partitions per core and AQE coalesces them to
+    ``partition_mb`` each; skewed join partitions are split; scan splits are
+    ``partition_mb``.  Broadcasts stay behind AQE's measured-size threshold.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{partition_mb * 4}m",
+        "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores)),
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
