@@ -3,7 +3,7 @@
 Runs on ``local[$BENCH_CPUS]`` (default 8) over ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) and prints one JSON line.  Every query is executed
 in full with the ``noop`` sink (nothing is collected to the driver); the
-reported time per query is the best of ``$BENCH_REPEAT`` runs (default 2)
+reported time per query is the best of ``$BENCH_REPEAT`` runs (default 3)
 after one warm-up query, and ``value`` is their sum.
 """
 
@@ -40,7 +40,7 @@ def run_once(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = local_session(cpus)
     run_once(spark, "star_census", sf_dir)  # warm-up: JVM, codegen caches
