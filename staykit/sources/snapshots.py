@@ -33,11 +33,21 @@ from ..schemas import DROPPED_LISTING_COLUMNS, RAW_LISTING_SCHEMA
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
 
 
-def list_files(spark: SparkSession, root: str, suffixes: Sequence[str] = (".csv", ".csv.gz", ".gz")) -> list[str]:
+SUFFIXES = (".csv", ".csv.gz", ".gz")
+# Files larger than this are read by the splittable reader (see splitcsv).
+SPLIT_BYTES = 256 * 1024 * 1024
+
+
+def file_sizes(spark: SparkSession, root: str, suffixes: Sequence[str] = SUFFIXES) -> dict[str, int]:
+    """Data files under ``root`` (recursively) with their sizes, from Spark's file index."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .load(root).select("path", "length"))
+    return {r.path: r.length for r in listing.collect() if r.path.endswith(tuple(suffixes))}
+
+
+def list_files(spark: SparkSession, root: str, suffixes: Sequence[str] = SUFFIXES) -> list[str]:
     """Data files under ``root`` (recursively), as Spark's file index sees them."""
-    paths = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load(root).select("path"))
-    return sorted(r.path for r in paths.collect() if r.path.endswith(tuple(suffixes)))
+    return sorted(file_sizes(spark, root, suffixes))
 
 
 def first_line(spark: SparkSession, path: str) -> str:
@@ -110,19 +120,31 @@ def typed_projection(df: DataFrame, schema: T.StructType = RAW_LISTING_SCHEMA) -
 
 def read_csv_by_header(spark: SparkSession, root: str, schema: T.StructType,
                        dropped: Sequence[str] = (), lineage: bool = True,
-                       multi_line: bool = True) -> DataFrame:
+                       multi_line: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Every CSV under ``root``, read once per distinct header, typed to ``schema``.
 
     ``dropped`` columns go when present; unknown extra columns are dropped
     too (the original's insert would have failed on them).  ``multi_line``
-    allows quoted line breaks (one task per file); files known to hold none
-    can be read with ``multi_line=False``, which splits large files.
+    allows quoted line breaks; such files are one task each, so files larger
+    than ``split_bytes`` (uncompressed) go through the splittable reader,
+    which works per file block.  Files known to hold no line breaks in values
+    can be read with ``multi_line=False``.
     """
-    groups = group_by_header(spark, list_files(spark, root))
+    from .splitcsv import read_csv_split
+
+    sizes = file_sizes(spark, root)
+    groups = group_by_header(spark, sorted(sizes))
     if not groups:
         return spark.createDataFrame([], schema)
     opts = {"multiLine": "true" if multi_line else "false"}
-    frames = [read_csv_group(spark, h, fs, opts).drop(*dropped) for h, fs in sorted(groups.items())]
+    frames = []
+    for h, fs in sorted(groups.items()):
+        big = [f for f in fs if multi_line and sizes[f] > split_bytes and not f.endswith(".gz")]
+        small = [f for f in fs if f not in big]
+        if small:
+            frames.append(read_csv_group(spark, h, small, opts).drop(*dropped))
+        if big:
+            frames.append(read_csv_split(spark, h, big).drop(*dropped))
     if not lineage:
         frames = [f.drop("filename") for f in frames]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
@@ -130,9 +152,11 @@ def read_csv_by_header(spark: SparkSession, root: str, schema: T.StructType,
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: T.StructType = RAW_LISTING_SCHEMA,
-                   dropped: Sequence[str] = DROPPED_LISTING_COLUMNS, multi_line: bool = True) -> DataFrame:
+                   dropped: Sequence[str] = DROPPED_LISTING_COLUMNS, multi_line: bool = True,
+                   split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """All listing snapshot files under ``root`` as one typed frame with ``filename``."""
-    return read_csv_by_header(spark, root, schema, dropped, lineage=True, multi_line=multi_line)
+    return read_csv_by_header(spark, root, schema, dropped, lineage=True, multi_line=multi_line,
+                              split_bytes=split_bytes)
 
 
 def read_lookup_csv(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:

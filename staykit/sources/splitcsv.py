@@ -1,0 +1,72 @@
+"""Splittable reading of CSV files whose quoted values hold line breaks.
+
+Spark reads such files with ``multiLine``, one task per file, so one large
+snapshot file becomes one long task.  This reader keeps the work split by
+file block instead:
+
+1. read lines with the (splittable) text source, with each line's file,
+   block start and position;
+2. a line starts a record when the number of quote characters before it in
+   the file is even; the parity before a block comes from a prefix over the
+   blocks' parities (one row per block), the parity inside a block from a
+   window over that block's lines;
+3. continuation lines join the last record start before them (inside the
+   block, or carried over from an earlier block);
+4. each record's lines are regrouped and parsed by Spark's own ``from_csv``.
+
+Window partitions are one file block (or one row per block), never a whole
+file.  Quotes are RFC 4180 style (a doubled quote inside a quoted value).
+"""
+
+from __future__ import annotations
+
+from typing import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+
+def read_csv_split(spark: SparkSession, header: Sequence[str], files: Sequence[str],
+                   quote: str = '"') -> DataFrame:
+    """Records of ``files`` (all sharing ``header``) as text columns plus ``filename``."""
+    lines = (spark.read.text(list(files))
+             .select(F.col("_metadata.file_path").alias("f"),
+                     F.col("_metadata.file_block_start").alias("blk"),
+                     F.monotonically_increasing_id().alias("pos"), "value"))
+    quotes = F.length("value") - F.length(F.regexp_replace("value", quote, ""))
+    lines = lines.withColumn("par", (quotes % 2).cast("int"))
+
+    in_file = Window.partitionBy("f").orderBy("blk")
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (lines.groupBy("f", "blk").agg((F.sum("par") % 2).alias("bpar"))
+              .withColumn("carry", F.coalesce(F.sum("bpar").over(before), F.lit(0)) % 2)
+              .select("f", "blk", "carry"))
+
+    in_block = Window.partitionBy("f", "blk").orderBy("pos")
+    upto_prev = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    upto_here = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = (lines.join(blocks, ["f", "blk"])
+              .withColumn("start", ((F.col("carry") + F.coalesce(F.sum("par").over(upto_prev), F.lit(0))) % 2) == 0)
+              .withColumn("first", (F.col("blk") == 0) & (F.row_number().over(in_block) == 1))
+              .withColumn("rec_in", F.last(F.when(F.col("start"), F.col("pos")), ignorenulls=True).over(upto_here)))
+
+    # records that began in an earlier block: the last start of the blocks before
+    last_start = (marked.groupBy("f", "blk").agg(F.max(F.when(F.col("start"), F.col("pos"))).alias("bstart"))
+                  .withColumn("rec_carry", F.last("bstart", ignorenulls=True).over(before))
+                  .select("f", "blk", "rec_carry"))
+    assigned = (marked.join(last_start, ["f", "blk"])
+                .withColumn("rec", F.coalesce("rec_in", "rec_carry")))
+
+    heads = assigned.filter(F.col("first")).select("f", F.col("rec").alias("head"))
+    records = (assigned.groupBy("f", "rec")
+               .agg(F.sort_array(F.collect_list(F.struct("blk", "pos", "value"))).alias("parts"))
+               .join(heads, "f", "left")
+               .filter(F.col("head").isNull() | (F.col("rec") != F.col("head")))
+               .select(F.col("f").alias("filename"),
+                       F.concat_ws("\n", F.transform("parts", lambda p: p["value"])).alias("text")))
+    records = records.filter(F.col("text") != "")
+
+    ddl = ", ".join(f"`{c}` STRING" for c in header)
+    parsed = records.select(
+        F.from_csv("text", ddl, {"quote": quote, "escape": quote, "mode": "PERMISSIVE"}).alias("r"), "filename")
+    return parsed.select(*[F.col("r")[c].alias(c) for c in header], "filename")

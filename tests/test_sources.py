@@ -64,3 +64,28 @@ def test_single_line_mode_reads_same_rows(spark, scratch):
     a = sorted(tuple(r) for r in read_snapshots(spark, root).select("id", "price").collect())
     b = sorted(tuple(r) for r in read_snapshots(spark, root, multi_line=False).select("id", "price").collect())
     assert a == b == [(1, "$1,250.00"), (2, "$5.00")]
+
+
+def test_split_reader_equals_multiline_reader(spark, scratch):
+    import random
+
+    root = local_dir(scratch("csv"))
+    rnd = random.Random(5)
+    texts = ["plain", "two\nlines", 'has ""quotes""', "a, comma", "three\n\nlines \"\" q", ""]
+    body = []
+    for i in range(1500):
+        t = rnd.choice(texts)
+        cell = f'"{t}"' if any(ch in t for ch in '\n",') else t
+        body.append(f"{i},{rnd.randint(1, 99)},{cell}")
+    write(root, "2020-01-01.csv", "id,host_id,description\n" + "\n".join(body[:700]) + "\n")
+    write(root, "2020-02-01.csv", "description,id,host_id\n" + "\n".join(
+        ",".join([r.split(",", 2)[2], *r.split(",", 2)[:2]]) for r in body[700:]) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")  # many blocks per file
+    try:
+        split = read_snapshots(spark, root, split_bytes=0).select("id", "host_id", "description", "filename")
+        whole = read_snapshots(spark, root).select("id", "host_id", "description", "filename")
+        a, b = sorted(map(tuple, split.collect())), sorted(map(tuple, whole.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(a) == 1500 and a == b
