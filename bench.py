@@ -27,7 +27,7 @@ HEADLINE = (
     "star_owner",
     "csv_snapshot_scan",
     "load_snapshots",
-    "pipeline_end_to_end",
+    "end_to_end_region_kpi",
 )
 
 

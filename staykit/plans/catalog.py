@@ -2,7 +2,7 @@
 
 Each query reads the driver tables (through the fixture mapping in
 :mod:`staykit.sources.fixture`) in full, runs one operator or job of the
-pipeline, and aliases every output column to the name its DuckDB oracle in
+refresh, and aliases every output column to the name its DuckDB oracle in
 :mod:`staykit.oracle` uses.  Queries that exercise file formats first
 write the derived data to a fresh folder under the shared checkpoint root.
 """
@@ -27,7 +27,7 @@ from ..session import scratch_path
 from ..sources import fixture as fx
 from ..sources.export import export_snapshots, export_table_csv, lineage_columns
 from ..sources.snapshots import read_lookup_csv, read_snapshots, typed_projection
-from . import pipeline
+from . import refresh
 from .layers import materialized, written_once
 from .star import age_band_totals, build_census, build_fact, build_owners, fill_missing_region, \
     host_listing_count, load_raw
@@ -165,8 +165,8 @@ def load_census(spark, d):
     p1 = written_once(spark, d, "g01-csv", lambda p: export_table_csv(g01, p))
     p2 = written_once(spark, d, "g02-csv", lambda p: export_table_csv(g02, p))
     raw_dir = scratch_path(spark, "raw-census")
-    pipeline.replace_table(read_lookup_csv(spark, p1, G01_SCHEMA), f"{raw_dir}/g01")
-    pipeline.replace_table(read_lookup_csv(spark, p2, G02_SCHEMA), f"{raw_dir}/g02")
+    refresh.replace_table(read_lookup_csv(spark, p1, G01_SCHEMA), f"{raw_dir}/g01")
+    refresh.replace_table(read_lookup_csv(spark, p2, G02_SCHEMA), f"{raw_dir}/g02")
     return build_census(spark.read.parquet(f"{raw_dir}/g01"), spark.read.parquet(f"{raw_dir}/g02"))
 
 
@@ -200,8 +200,8 @@ def overwrite_roundtrip(spark, d):
     g01, g02 = _census_parts(spark, d)
     census = build_census(g01, g02)
     path = scratch_path(spark, "census")
-    pipeline.replace_table(census, path)
-    pipeline.replace_table(spark.read.parquet(path), path)
+    refresh.replace_table(census, path)
+    refresh.replace_table(spark.read.parquet(path), path)
     return spark.read.parquet(path)
 
 
@@ -435,14 +435,15 @@ def kpi_host_region_month(spark, d):
 
 
 @query
-def pipeline_end_to_end(spark, d):
+def end_to_end_region_kpi(spark, d):
+    """Every stage from the CSV files to the region KPI table (written, read back)."""
     inputs = {
         "listings": _snapshot_files(spark, d),
         "location": written_once(spark, d, "location-csv", lambda p: export_table_csv(_location(spark, d), p)),
         "g01": written_once(spark, d, "g01-csv", lambda p: export_table_csv(_census_parts(spark, d)[0], p)),
         "g02": written_once(spark, d, "g02-csv", lambda p: export_table_csv(_census_parts(spark, d)[1], p)),
     }
-    out = pipeline.run(spark, inputs, scratch_path(spark, "pipeline"))
+    out = refresh.run(spark, inputs, scratch_path(spark, "refresh"))
     return spark.read.parquet(out["kpi_region_month"])
 
 

@@ -1,6 +1,6 @@
 """Derived layers written once per session and read back by later stages.
 
-The original pipeline hands each stage a written table (raw → star → kpi).
+The original job hands each stage a written table (raw → star → kpi).
 The registered queries do the same: a layer derived from the driver tables
 is written once per Spark application under the shared checkpoint root, and
 every later query reads it back instead of recomputing the upstream stages.

@@ -1,7 +1,7 @@
 """Table layouts of the three layers (raw, star, kpi) and the fixed name lists.
 
 Everything here is a constant.  The column names and the drop list are values
-that must equal the original pipeline's for files to load the same way, so
+that must equal the original job's for files to load the same way, so
 they are written out plainly in their natural order.
 """
 

@@ -1,4 +1,4 @@
-"""Writing the derived fixture out as the files the original pipeline reads.
+"""Writing the derived fixture out as the files the original job reads.
 
 Snapshot rows go to one CSV per (folder, month) in three header shapes, to
 exercise the drift handling:

@@ -33,9 +33,9 @@ def test_price_regimes(spark):
 
 
 def test_snapshot_date_from_name_or_folder(spark):
-    assert one(spark, snapshot_date, "dags/listings/2020-07-01.csv") == dt.date(2020, 7, 1)
+    assert one(spark, snapshot_date, "in/listings/2020-07-01.csv") == dt.date(2020, 7, 1)
     assert one(spark, snapshot_date, "s3a://b/x/snapshot=2021-02-01/part-0001.c000.csv.gz") == dt.date(2021, 2, 1)
-    assert one(spark, snapshot_date, "dags/listings/notes.csv") is None
+    assert one(spark, snapshot_date, "in/listings/notes.csv") is None
     assert one(spark, snapshot_month, "a/2020-12-01.csv") == 12
     assert one(spark, snapshot_year, "a/2020-12-01.csv") == 2020
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from staykit.plans import pipeline
+from staykit.plans import refresh
 from staykit.plans.catalog import REGISTRY
 from staykit.sources import fixture as fx
 from staykit.sources.export import export_snapshots, export_table_csv
@@ -8,8 +8,8 @@ from staykit.sources.export import export_snapshots, export_table_csv
 SF = "/root/testdata/sf0.001"
 
 
-def test_pipeline_rerun_and_incremental_append(spark, scratch):
-    root = scratch("pipe")
+def test_refresh_rerun_and_incremental_append(spark, scratch):
+    root = scratch("refresh")
     rows = fx.listing_rows(spark, SF)
     early = rows.filter(F.col("calendar_last_scraped") < "1999-01-01")
     inputs = {"listings": f"{root}/in1/listings", "location": f"{root}/in1/location",
@@ -19,16 +19,16 @@ def test_pipeline_rerun_and_incremental_append(spark, scratch):
     export_table_csv(fx.census_g01(spark, SF), inputs["g01"])
     export_table_csv(fx.census_g02(spark, SF), inputs["g02"])
     out_root = f"{root}/out"
-    out = pipeline.run(spark, inputs, out_root, mode="append")
+    out = refresh.run(spark, inputs, out_root, mode="append")
     counts = {k: spark.read.parquet(out[k]).count() for k in ("raw_listings", "fact", "owners", "kpi_region_month")}
     # re-running on the same files adds nothing
-    pipeline.run(spark, inputs, out_root, mode="append")
+    refresh.run(spark, inputs, out_root, mode="append")
     again = {k: spark.read.parquet(out[k]).count() for k in counts}
     assert again == counts
     # a second batch of files: only its keys are added, existing rows stay
     late = dict(inputs, listings=f"{root}/in2/listings")
     export_snapshots(rows.filter(F.col("calendar_last_scraped") >= "1999-01-01"), late["listings"])
-    pipeline.run(spark, late, out_root, mode="append")
+    refresh.run(spark, late, out_root, mode="append")
     raw = spark.read.parquet(out["raw_listings"])
     assert raw.count() == counts["raw_listings"] + rows.filter(
         F.col("calendar_last_scraped") >= "1999-01-01").select("id", "filename").distinct().count()
@@ -37,7 +37,7 @@ def test_pipeline_rerun_and_incremental_append(spark, scratch):
     assert spark.read.parquet(out["audit_fact_duplicate_key"]).count() == 0
 
 
-def test_pipeline_recompute_matches_query(spark):
-    a = REGISTRY["pipeline_end_to_end"](spark, SF)
+def test_end_to_end_query_runs(spark):
+    a = REGISTRY["end_to_end_region_kpi"](spark, SF)
     assert a.count() > 0
     assert set(a.columns) >= {"lga_code", "year", "month", "Estimated_revenue"}
