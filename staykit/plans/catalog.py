@@ -378,12 +378,12 @@ def _mom(f: DataFrame, keys) -> DataFrame:
     from pyspark.sql import Window
 
     g = (f.filter(is_true_flag("has_availability")).groupBy(*keys, *TIME_KEYS)
-         .agg(F.count("id").alias("count1")))
+         .agg(F.count("id").alias("active_listings")))
     w = Window.partitionBy(*keys).orderBy(*TIME_KEYS)
-    prev = F.lag("count1").over(w)
-    return g.select(*keys, *TIME_KEYS, "count1", prev.alias("last_amount")).select(
-        "*", (F.col("count1") - F.col("last_amount")).alias("abs_change"),
-        pct_change(F.col("count1"), F.col("last_amount")).alias("percent_change"))
+    prev = F.lag("active_listings").over(w)
+    return g.select(*keys, *TIME_KEYS, "active_listings", prev.alias("prev_active_listings")).select(
+        "*", (F.col("active_listings") - F.col("prev_active_listings")).alias("change_abs"),
+        pct_change(F.col("active_listings"), F.col("prev_active_listings")).alias("change_pct"))
 
 
 @query

@@ -127,7 +127,7 @@ def test_host_region_equals_sql(spark):
     f = spark.createDataFrame(rows, FACT)
     o = spark.createDataFrame(owners, OWN)
     got = host_region_kpis(f, o)
-    sql = HOST_REGION_SQL[HOST_REGION_SQL.index("h1 AS"):]
+    sql = HOST_REGION_SQL[HOST_REGION_SQL.index("hosts_by_region AS"):]
     cols, want = duck_rows("WITH " + sql, {"fact": f.toPandas(), "owners": o.toPandas()})
     order = sorted(cols)
     a = sorted((tuple(norm(r[c]) for c in order) for r in got.collect()), key=repr)
