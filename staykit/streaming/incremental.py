@@ -16,6 +16,7 @@ re-run after a failure appends nothing twice, because the append is keyed
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.keys import first_per_key, rows_to_add
@@ -59,7 +60,8 @@ def append_batch(spark: SparkSession, batch: DataFrame, raw_path: str) -> None:
     if rows is None:
         return
     if _table_exists(spark, raw_path):
-        existing = spark.read.parquet(raw_path)
+        # a key contains its file name, so only rows of these files can clash
+        existing = spark.read.parquet(raw_path).filter(F.col("filename").isin(files))
         rows_to_add(rows, existing, RAW_LISTING_KEY).select(*existing.columns) \
             .write.mode("append").parquet(raw_path)
     else:
