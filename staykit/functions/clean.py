@@ -64,14 +64,17 @@ def snapshot_date(path: Column | str) -> Column:
     The base name without extension (``.../2020-07-01.csv``) is the date.
     Files written by a distributed writer sit in a directory named after the
     date (``.../snapshot=2020-07-01/part-0.csv``); that directory is used
-    when the base name is not a date.
+    when the base name is not a date.  The base name is cut with
+    ``substring_index`` (no regex per row); the regex runs only in the
+    fallback and only on the short folder name.
     """
     p = _c(path)
-    base = F.split_part(F.regexp_replace(p, r".+/", ""), F.lit("."), F.lit(1))
-    parent = F.regexp_extract(p, r"([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*/[^/]*$", 1)
+    stem = F.substring_index(F.substring_index(p, "/", -1), ".", 1)
+    folder = F.substring_index(F.substring_index(p, "/", -2), "/", 1)
+    in_folder = F.regexp_extract(folder, r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
     return F.coalesce(
-        F.try_to_date(base, "yyyy-MM-dd"),
-        F.try_to_date(F.nullif(parent, F.lit("")), "yyyy-MM-dd"),
+        F.try_to_date(stem, "yyyy-MM-dd"),
+        F.when(F.instr(p, "/") > 0, F.try_to_date(F.nullif(in_folder, F.lit("")), "yyyy-MM-dd")),
     )
 
 
