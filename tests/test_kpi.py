@@ -2,7 +2,6 @@ import random
 from decimal import Decimal
 
 import duckdb
-import pandas as pd
 import pytest
 
 from staykit.operators.kpi import group_kpis, host_region_kpis
