@@ -66,21 +66,41 @@ def _prepare(fact: DataFrame, keys: Sequence[str], string_keys: Sequence[str]) -
                        "has_availability", "review_scores_rating")
 
 
+def month_filter(months) -> Column:
+    """(year, month) in ``months`` as a literal predicate (prunes month partitions)."""
+    if not months:
+        return F.lit(False)
+    return reduce(lambda a, b: a | b, [(F.col("year") == y) & (F.col("month") == m) for y, m in months])
+
+
 def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
                string_keys: Sequence[str] = (), median: str = "exact",
-               approx_accuracy: int = 10_000) -> DataFrame:
+               approx_accuracy: int = 10_000, months=None) -> DataFrame:
     """The 13-measure KPI block by ``keys`` × (year, month).
 
     ``string_keys`` are text keys whose missing value is the text ``NaN``
     (a group of its own); every other key drops its NULL groups.
     ``median="approx"`` opts into ``percentile_approx`` (bounded sketch,
     not equal to the exact interpolated median); the default is exact.
+    ``months`` restricts the output to those (year, month) pairs: the
+    measures read only those months, and the month-on-month change comes
+    from a counts-only aggregate over all months (the lag may reach back).
     """
     keys = list(keys)
     g = keys + list(TIME_KEYS)
     f = _prepare(fact, keys, string_keys)
     active = is_true_flag("has_availability")
     inactive = is_false_flag("has_availability")
+    key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in g])
+    changes = None
+    if months is not None:
+        counts = f.groupBy(*g).agg(F.count(F.when(active, F.col("id"))).alias("na"),
+                                   F.count(F.when(inactive, F.col("id"))).alias("ni")).filter(key_ok)
+        counts = mom_change(counts, keys, "na", "change_for_active_listings")
+        counts = mom_change(counts, keys, "ni", "change_for_inactive_listings")
+        changes = counts.filter(month_filter(months)).select(
+            *g, "change_for_active_listings", "change_for_inactive_listings")
+        f = f.filter(month_filter(months))
     stays = F.lit(30) - F.col("availability_30")
     rated = active & not_missing("review_scores_rating")
     on_active = lambda c: F.when(active, c)
@@ -102,7 +122,6 @@ def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
     sup = owners.select("host_id", is_true_flag("host_is_superhost").alias("sup"))
     per_host = per_host.join(sup, "host_id", "left")
 
-    key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in g])
     grp = per_host.groupBy(*g).agg(
         *[F.sum(c).alias(c) for c in ("na", "ni", "n", "psum", "pcnt", "rsum", "rcnt", "ssum", "scnt", "rev")],
         F.min("pmin").alias("pmin"), F.max("pmax").alias("pmax"),
@@ -121,8 +140,11 @@ def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
         raise ValueError(f"median must be 'exact' or 'approx', not {median!r}")
     grp = grp.join(med, g, "left")
 
-    grp = mom_change(grp, keys, "na", "change_for_active_listings")
-    grp = mom_change(grp, keys, "ni", "change_for_inactive_listings")
+    if changes is None:
+        grp = mom_change(grp, keys, "na", "change_for_active_listings")
+        grp = mom_change(grp, keys, "ni", "change_for_inactive_listings")
+    else:
+        grp = grp.join(changes, g, "left")
 
     left = (F.col("na") > 0) & (F.col("rcnt") > 0) & (F.col("h1") > 0)
     gated = lambda c: F.when(left, c)
@@ -145,13 +167,15 @@ def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
     return out
 
 
-def host_region_kpis(fact: DataFrame, owners: DataFrame) -> DataFrame:
+def host_region_kpis(fact: DataFrame, owners: DataFrame, months=None) -> DataFrame:
     """Distinct hosts, revenue and revenue per host by the host's region × month.
 
     Hosts count whether their listings are active or not; revenue counts
     active listings only.  The fact is reduced to one row per host and month
-    before it meets the owner dimension.
+    before it meets the owner dimension.  ``months`` restricts the output.
     """
+    if months is not None:
+        fact = fact.filter(month_filter(months))
     active = is_true_flag("has_availability")
     rev = (F.lit(30) - F.col("availability_30")) * F.col("price")
     per_host = fact.groupBy("host_id", *TIME_KEYS).agg(F.sum(F.when(active, rev)).alias("rev"))

@@ -132,3 +132,26 @@ def test_host_region_equals_sql(spark):
     a = sorted((tuple(norm(r[c]) for c in order) for r in got.collect()), key=repr)
     b = sorted((tuple(norm(r[cols.index(c)]) for c in order) for r in want), key=repr)
     assert a == b
+
+
+@pytest.mark.parametrize("keys", [("lga_code",), ("property_type", "room_type", "accommodates")])
+def test_month_restricted_kpis_equal_full_kpis(spark, keys):
+    from pyspark.sql import functions as F
+
+    rows, owners = random_fact(9)
+    f = spark.createDataFrame(rows, FACT)
+    o = spark.createDataFrame(owners, OWN)
+    months = [(2019, 3), (2020, 1), (2020, 6)]
+    string_keys = [k for k in keys if k in ("property_type", "room_type")]
+    part = group_kpis(f, o, list(keys), string_keys=string_keys, months=months)
+    full = group_kpis(f, o, list(keys), string_keys=string_keys)
+    keep = F.lit(False)
+    for y, m in months:
+        keep = keep | ((F.col("year") == y) & (F.col("month") == m))
+    cols = sorted(part.columns)
+    a = sorted((tuple(norm(r[c]) for c in cols) for r in part.collect()), key=repr)
+    b = sorted((tuple(norm(r[c]) for c in cols) for r in full.filter(keep).collect()), key=repr)
+    assert a and a == b
+    h_part = host_region_kpis(f, o, months=months).collect()
+    h_full = host_region_kpis(f, o).filter(keep).collect()
+    assert sorted(map(tuple, h_part), key=repr) == sorted(map(tuple, h_full), key=repr)
