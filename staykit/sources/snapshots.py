@@ -42,7 +42,8 @@ def file_sizes(spark: SparkSession, root: str, suffixes: Sequence[str] = SUFFIXE
     """Data files under ``root`` (recursively) with their sizes, from Spark's file index."""
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(root).select("path", "length"))
-    return {r.path: r.length for r in listing.collect() if r.path.endswith(tuple(suffixes))}
+    # empty files carry no header and no rows
+    return {r.path: r.length for r in listing.collect() if r.path.endswith(tuple(suffixes)) and r.length > 0}
 
 
 def list_files(spark: SparkSession, root: str, suffixes: Sequence[str] = SUFFIXES) -> list[str]:

@@ -89,3 +89,10 @@ def test_split_reader_equals_multiline_reader(spark, scratch):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert len(a) == 1500 and a == b
+
+
+def test_empty_file_is_skipped(spark, scratch):
+    root = local_dir(scratch("csv"))
+    write(root, "2020-01-01.csv", "id,host_id\n1,10\n")
+    write(root, "2020-02-01.csv", "")
+    assert [r.id for r in read_snapshots(spark, root).collect()] == [1]
