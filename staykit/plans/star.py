@@ -11,7 +11,7 @@ from ..functions.clean import host_city, price_mixed_format, snapshot_month, sna
 from ..operators.keys import first_per_key
 from ..operators.listings import exclude_moved, lookup_region, moved_ids
 from ..schemas import (CENSUS_AGE_55_PLUS, CENSUS_AGE_UNDER_55, CENSUS_COLUMNS, CENSUS_KEY,
-                       DEFAULT_HOST_REGION, FACT_COLUMNS, FACT_KEY, OWNER_COLUMNS, OWNER_KEY)
+                       DEFAULT_HOST_REGION, FACT_COLUMNS, FACT_KEY, OWNER_COLUMNS)
 
 
 def load_raw(snapshots: DataFrame) -> DataFrame:
@@ -50,17 +50,23 @@ def build_owners(raw: DataFrame, location: DataFrame, moved: DataFrame | None =
 
     The home town is the first comma-separated part of the host location,
     upper-cased (stored untrimmed, matched trimmed).  Hosts whose town is
-    not in the lookup get ``default_region``.  The listing count joins after
-    the one-row-per-host reduction, on the same partitioning.
+    not in the lookup get ``default_region``.  One aggregate per host gives
+    both the first row of host attributes (in column order, as
+    ``first_per_key``) and the number of distinct kept listings; Spark plans
+    it as (host, listing) then host, combining map-side at both levels, so a
+    host with a third of all listings is never gathered in one task.
     """
     kept = exclude_moved(raw, moved)
     hosts = kept.select(
-        "host_id", "host_name", host_city("host_location").alias("host_loc_cleaned"),
+        "host_id", "id", "host_name", host_city("host_location").alias("host_loc_cleaned"),
         "host_total_listings_count", "host_is_superhost", "host_location")
     hosts = lookup_region(hosts, F.split_part(F.col("host_location"), F.lit(","), F.lit(1)),
                           location, trim=True).drop("host_location")
-    one = first_per_key(hosts, OWNER_KEY)
-    owners = one.join(host_listing_count(kept), "host_id", "left")
+    attrs = ["host_name", "host_loc_cleaned", "host_total_listings_count", "host_is_superhost", "lga_code"]
+    one = hosts.groupBy("host_id").agg(
+        F.min(F.struct(*[F.col(c) for c in attrs])).alias("_first"),
+        F.countDistinct("id").alias("host_tot_list_new"))
+    owners = one.select("host_id", *[F.col("_first")[c].alias(c) for c in attrs], "host_tot_list_new")
     return fill_missing_region(owners, default_region).select(*OWNER_COLUMNS)
 
 
