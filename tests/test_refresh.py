@@ -90,3 +90,17 @@ def test_scoped_append_equals_full_rederivation(spark, scratch):
         expected = first.unionByName(rows_to_add(full, first, keys).select(*first.columns))
         got = spark.read.parquet(out[table]).select(*first.columns)
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+
+
+def test_refresh_job_script(spark, scratch):
+    import refresh_job
+
+    root = scratch("job")
+    rows = fx.listing_rows(spark, SF).filter(F.col("calendar_last_scraped") < "1996-01-01")
+    export_snapshots(rows, f"{root}/listings")
+    export_table_csv(fx.locality_lookup(spark, SF), f"{root}/location")
+    export_table_csv(fx.census_g01(spark, SF), f"{root}/g01")
+    export_table_csv(fx.census_g02(spark, SF), f"{root}/g02")
+    out = refresh_job.main(["--listings", f"{root}/listings", "--location", f"{root}/location",
+                            "--g01", f"{root}/g01", "--g02", f"{root}/g02", "--out", f"{root}/out"])
+    assert spark.read.parquet(out["kpi_region_month"]).count() > 0
