@@ -104,3 +104,13 @@ def test_refresh_job_script(spark, scratch):
     out = refresh_job.main(["--listings", f"{root}/listings", "--location", f"{root}/location",
                             "--g01", f"{root}/g01", "--g02", f"{root}/g02", "--out", f"{root}/out"])
     assert spark.read.parquet(out["kpi_region_month"]).count() > 0
+
+
+def test_replace_table_over_its_own_input(spark, scratch):
+    path = scratch("own")
+    spark.range(5).write.parquet(path)
+    plain = path.replace("file:", "", 1)
+    for p in (path, plain):
+        df = spark.read.parquet(p).withColumn("id", F.col("id") + 1)
+        refresh.replace_table(df, p)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3, 4, 5, 6]
