@@ -50,3 +50,15 @@ def test_moved_set_is_a_two_level_hash_aggregate(spark):
     plan = plan_of(E.queries()["exclude_moved"](spark, SF))
     assert "LeftAnti" in plan
     assert "partial_count(distinct" in plan
+
+
+def test_median_counts_exchange_is_reused(spark):
+    from pyspark.sql import functions as F
+
+    from staykit.operators.median import exact_median
+
+    df = spark.range(2000).select((F.col("id") % 7).alias("g"), (F.col("id") % 101).cast("decimal(12,2)").alias("x"))
+    m = exact_median(df, ["g"], "x")
+    m.collect()  # run through the frame's own execution, so its final adaptive plan is available
+    final = m._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in final and "ReusedExchange" in final
