@@ -47,7 +47,8 @@ def main(sf_dir: str) -> dict:
              .config("spark.sql.adaptive.coalescePartitions.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     from staykit.operators.keys import first_per_key
-    from staykit.operators.kpi import group_kpis
+    from staykit.operators.kpi import group_kpis, host_region_kpis
+    from staykit.operators.listings import moved_ids
     from staykit.operators.median import exact_median
     from staykit.plans import catalog as c
 
@@ -73,6 +74,8 @@ def main(sf_dir: str) -> dict:
             "_n", F.count(F.lit(1)).over(naive_w)),
         "first_per_key(id, year, month)": lambda: first_per_key(skewed, ["id", "year", "month"]),
         "group_kpis(region)": lambda: group_kpis(skewed, owners, ["lga_code"]),
+        "moved_ids (distinct places per id)": lambda: moved_ids(skewed),
+        "host_region_kpis (hot host)": lambda: host_region_kpis(skewed, owners),
         "exact_median(region, month)": lambda: exact_median(
             skewed.filter("has_availability = 't'"), ["lga_code", "year", "month"], "price"),
     }
