@@ -12,7 +12,8 @@ file block instead:
    window over that block's lines;
 3. continuation lines join the last record start before them (inside the
    block, or carried over from an earlier block);
-4. each record's lines are regrouped and parsed by Spark's own ``from_csv``.
+4. each record's lines are gathered on its start line by a window per
+   record (one record buffered at a time) and parsed by ``from_csv``.
 
 Window partitions are one file block (or one row per block), never a whole
 file.  Quotes are RFC 4180 style (a doubled quote inside a quoted value).
@@ -57,16 +58,20 @@ def read_csv_split(spark: SparkSession, header: Sequence[str], files: Sequence[s
     assigned = (marked.join(last_start, ["f", "blk"])
                 .withColumn("rec", F.coalesce("rec_in", "rec_carry")))
 
+    # each record's lines, in order, on its start line; a window per record
+    # buffers one record at a time (no hash map of all records in a task)
+    whole_rec = (Window.partitionBy("f", "rec").orderBy("blk", "pos")
+                 .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     heads = assigned.filter(F.col("first")).select("f", F.col("rec").alias("head"))
-    records = (assigned.groupBy("f", "rec")
-               .agg(F.sort_array(F.collect_list(F.struct("blk", "pos", "value"))).alias("parts"))
-               .join(heads, "f", "left")
+    records = (assigned.withColumn("parts", F.collect_list("value").over(whole_rec))
+               .filter(F.col("pos") == F.col("rec"))
+               .join(F.broadcast(heads), "f", "left")  # one row per file: bounded
                .filter(F.col("head").isNull() | (F.col("rec") != F.col("head")))
-               .select(F.col("f").alias("filename"),
-                       F.concat_ws("\n", F.transform("parts", lambda p: p["value"])).alias("text")))
+               .select(F.col("f").alias("filename"), F.concat_ws("\n", "parts").alias("text")))
     records = records.filter(F.col("text") != "")
 
     ddl = ", ".join(f"`{c}` STRING" for c in header)
     parsed = records.select(
         F.from_csv("text", ddl, {"quote": quote, "escape": quote, "mode": "PERMISSIVE"}).alias("r"), "filename")
-    return parsed.select(*[F.col("r")[c].alias(c) for c in header], "filename")
+    # the lineage path wins over a `filename` column the file itself may carry
+    return parsed.select(*[F.col("r")[c].alias(c) for c in header if c != "filename"], "filename")

@@ -96,3 +96,11 @@ def test_empty_file_is_skipped(spark, scratch):
     write(root, "2020-01-01.csv", "id,host_id\n1,10\n")
     write(root, "2020-02-01.csv", "")
     assert [r.id for r in read_snapshots(spark, root).collect()] == [1]
+
+
+def test_lineage_wins_over_a_filename_column_in_the_file(spark, scratch):
+    root = local_dir(scratch("csv"))
+    write(root, "2020-01-01.csv", "id,filename,host_id\n1,elsewhere.csv,10\n")
+    for split in (0, 1 << 30):
+        rows = read_snapshots(spark, root, split_bytes=split).collect()
+        assert [r.filename.endswith("2020-01-01.csv") for r in rows] == [True]

@@ -8,6 +8,8 @@ the same region and the same host.  For each operator the Spark event log
 (written to a fresh scratch folder) gives the largest number of shuffle
 records one task read, compared with the input row count.  If a hot key
 were gathered whole, one task would read at least a third of the rows.
+A hot source is probed too: all snapshot rows in one CSV file, read by the
+multiLine reader and by the splittable reader (input records per task).
 """
 
 from __future__ import annotations
@@ -39,6 +41,7 @@ def _lines(path: str):
 def main(sf_dir: str) -> dict:
     log_dir = tempfile.mkdtemp(prefix="skew-probe-")
     spark = (SparkSession.builder.master("local[8]").appName("skew-probe")
+             .config("spark.driver.memory", "12g")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
              .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
@@ -82,6 +85,24 @@ def main(sf_dir: str) -> dict:
     for name, build in probes.items():
         spark.sparkContext.setJobGroup(name, name)
         build().write.format("noop").mode("overwrite").save()
+
+    # a hot source: every snapshot row in one CSV file (with quoted line breaks)
+    from staykit.session import scratch_path
+    from staykit.sources.export import WRITE_OPTIONS
+    from staykit.sources.snapshots import read_snapshots
+
+    one_file = scratch_path(spark, "one-file")
+    spark.sparkContext.setJobGroup("export", "export")
+    c._rows(spark, sf_dir).coalesce(1).write.options(**WRITE_OPTIONS).csv(one_file)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 * 1024 * 1024))
+    sources = {
+        "one big CSV, multiLine reader": lambda: read_snapshots(spark, one_file),
+        "one big CSV, splittable reader": lambda: read_snapshots(spark, one_file, split_bytes=0),
+    }
+    for name, build in sources.items():
+        spark.sparkContext.setJobGroup(name, name)
+        build().write.format("noop").mode("overwrite").save()
+    probes.update(sources)
     spark.stop()
 
     stage_group, tasks = {}, {}
@@ -95,20 +116,23 @@ def main(sf_dir: str) -> dict:
                 for s in e["Stage IDs"]:
                     stage_group[s] = group
             elif e["Event"] == "SparkListenerTaskEnd" and stage_group.get(e["Stage ID"]) in probes:
-                read = (e.get("Task Metrics") or {}).get("Shuffle Read Metrics", {}).get("Total Records Read", 0)
-                tasks.setdefault((stage_group[e["Stage ID"]], e["Stage ID"]), []).append(read)
+                metrics = e.get("Task Metrics") or {}
+                shuffled = metrics.get("Shuffle Read Metrics", {}).get("Total Records Read", 0)
+                scanned = metrics.get("Input Metrics", {}).get("Records Read", 0)
+                tasks.setdefault((stage_group[e["Stage ID"]], e["Stage ID"]), []).append((shuffled, scanned))
     worst = {}
-    for (group, _stage), reads in tasks.items():
+    for (group, _stage), per_task in tasks.items():
+        # operators: records each task read from a shuffle; sources: records each task scanned
+        reads = [sc if group in sources else sh for sh, sc in per_task]
         total = sum(reads)
         if total == 0:
             continue
         cand = {"max_task_records": max(reads), "stage_records": total, "tasks": len(reads),
-                "max_task_share_of_stage": round(max(reads) / total, 3),
-                "max_task_share_of_rows": round(max(reads) / n_rows, 3)}
+                "max_task_share_of_stage": round(max(reads) / total, 3)}
         if group not in worst or cand["max_task_records"] > worst[group]["max_task_records"]:
             worst[group] = cand
     out = {"rows": n_rows, "hot_key_rows": n_hot, "hot_share": round(n_hot / n_rows, 3),
-           "largest_shuffle_read_by_one_task": worst}
+           "largest_read_by_one_task": worst}
     print(json.dumps(out, indent=1))
     return out
 
