@@ -95,6 +95,17 @@ def read_csv_group(spark: SparkSession, header: Sequence[str], files: Sequence[s
     return reader.csv(list(files)).withColumn("filename", F.col("_metadata.file_path"))
 
 
+def _to_number(c, dtype: T.DataType):
+    """Text to a number, NULL when it does not parse.  Integer targets also
+    take whole decimals such as ``2.0`` (written by float-typed exporters);
+    a fraction such as ``2.5`` stays NULL rather than being truncated."""
+    direct = c.try_cast(dtype)
+    if not isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return direct
+    dec = c.try_cast("decimal(38,6)")
+    return F.coalesce(direct, F.when(dec == F.floor(dec), dec.try_cast(dtype)))
+
+
 def typed_projection(df: DataFrame, schema: T.StructType = RAW_LISTING_SCHEMA) -> DataFrame:
     """Text frame to the landing schema: every target column, in order.
 
@@ -112,7 +123,7 @@ def typed_projection(df: DataFrame, schema: T.StructType = RAW_LISTING_SCHEMA) -
         c = F.col(src)
         if isinstance(df.schema[src].dataType, T.StringType):
             c = null_tokens(c)
-            c = c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)
+            c = c if isinstance(f.dataType, T.StringType) else _to_number(c, f.dataType)
         else:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))

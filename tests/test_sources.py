@@ -104,3 +104,10 @@ def test_lineage_wins_over_a_filename_column_in_the_file(spark, scratch):
     for split in (0, 1 << 30):
         rows = read_snapshots(spark, root, split_bytes=split).collect()
         assert [r.filename.endswith("2020-01-01.csv") for r in rows] == [True]
+
+
+def test_integer_columns_take_whole_decimals(spark, scratch):
+    root = local_dir(scratch("csv"))
+    write(root, "2020-01-01.csv", "id,host_id,beds,accommodates,latitude\n1,10,2.0,2.5,-33.9\n2,11,3,x,1e1\n")
+    got = {r.id: (r.beds, r.accommodates, r.latitude) for r in read_snapshots(spark, root).collect()}
+    assert got == {1: (2, None, -33.9), 2: (3, None, 10.0)}
