@@ -60,9 +60,14 @@ def reduced_lookup(location: DataFrame, trim: bool, max_rows: int = 200_000,
 
 
 def lookup_region(df: DataFrame, name_col, location: DataFrame, trim: bool,
-                  out_col: str = "lga_code", state: str | None = None) -> DataFrame:
-    """Left join a region code by a place name (upper-cased, trimmed if asked)."""
-    lk = reduced_lookup(location, trim, state=state)
+                  out_col: str = "lga_code", state: str | None = None,
+                  max_rows: int = 200_000) -> DataFrame:
+    """Left join a region code by a place name (upper-cased, trimmed if asked).
+
+    The reduced lookup is broadcast when it has at most ``max_rows`` rows;
+    above that the join shuffles on the normalised name.
+    """
+    lk = reduced_lookup(location, trim, max_rows=max_rows, state=state)
     keyed = df.withColumn(LOOKUP_KEY, norm_key(name_col, trim))
     return (keyed.join(lk, LOOKUP_KEY, "left")
             .withColumnRenamed("LGA_CODE", out_col).drop(LOOKUP_KEY))

@@ -35,3 +35,25 @@ def test_state_filter_picks_the_right_region(spark):
     df = spark.createDataFrame([("Bondi",)], "place string")
     nsw = lookup_region(df, "place", loc, trim=True, state="NSW").first().lga_code
     assert nsw == "LGA_B"  # without the filter the VIC row (smaller code) would win
+
+
+def test_lookup_without_broadcast_gives_the_same_regions(spark):
+    loc = spark.createDataFrame(LOC, LOCATION_SCHEMA)
+    df = spark.createDataFrame([("BONDI",), ("Manly",), ("nowhere",), (None,)], "place string")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for trim in (False, True):
+        small = sorted(map(tuple, lookup_region(df, "place", loc, trim=trim).collect()), key=repr)
+        try:
+            for k in keys:
+                spark.conf.set(k, "-1")  # no size-based broadcast either: a shuffle join
+            big = lookup_region(df, "place", loc, trim=trim, max_rows=0)
+            assert "SortMergeJoin" in big._jdf.queryExecution().executedPlan().toString()
+            big = sorted(map(tuple, big.collect()), key=repr)
+        finally:
+            for k, v in old.items():
+                if v is None:
+                    spark.conf.unset(k)
+                else:
+                    spark.conf.set(k, v)
+        assert small == big
