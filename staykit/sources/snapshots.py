@@ -103,7 +103,8 @@ def _to_number(c, dtype: T.DataType):
     if not isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
         return direct
     dec = c.try_cast("decimal(38,6)")
-    return F.coalesce(direct, F.when(dec == F.floor(dec), dec.try_cast(dtype)))
+    whole = F.when(F.contains(c, F.lit(".")) & (dec == F.floor(dec)), dec.try_cast(dtype))
+    return F.coalesce(direct, whole)
 
 
 def typed_projection(df: DataFrame, schema: T.StructType = RAW_LISTING_SCHEMA) -> DataFrame:
@@ -122,8 +123,12 @@ def typed_projection(df: DataFrame, schema: T.StructType = RAW_LISTING_SCHEMA) -
             continue
         c = F.col(src)
         if isinstance(df.schema[src].dataType, T.StringType):
-            c = null_tokens(c)
-            c = c if isinstance(f.dataType, T.StringType) else _to_number(c, f.dataType)
+            if isinstance(f.dataType, T.StringType):
+                c = null_tokens(c)
+            elif isinstance(f.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+                c = _to_number(c, f.dataType)  # every NA token fails the cast anyway
+            else:
+                c = _to_number(null_tokens(c), f.dataType)  # 'NaN' must become NULL, not NaN
         else:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
