@@ -51,3 +51,9 @@ def test_query_matches_oracle(spark, duck, key):
     b = sorted((tuple(norm(r[i]) for i in order_d) for r in d_rows), key=repr)
     assert len(a) == len(b)
     assert a == b
+
+
+def test_entry_schema_is_stable(spark):
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema
+    assert [f.name for f in a.schema.fields][:3] == ["lga_code", "year", "month"]
