@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, ngram_join, piece_bpe, ppm_language, token_shards, warc, weighted_sampling
+from . import chat, mixing, ngram_join, piece_bpe, ppm_language, quality_rules, token_shards, warc, weighted_sampling
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.token_index(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one more, -1, whose texts are made of control strings."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -41,7 +49,68 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_warc, op3_fingerprints, op5_token_shards, op6_ngram_join, op8_chat,
-                                    op9_piece_bpe, op10_language)}
-
-ORACLE: dict[str, str] = {}
+REGISTRY = {f.__name__: f for f in (op1_warc, op3_fingerprints, op4_quality_rules, op5_token_shards, op6_ngram_join,
+                                    op7_mixing, op8_chat, op9_piece_bpe, op10_language)}
+
+# Payloads are told apart by their SHA-1, which is then spelled in base 32.
+OP1_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+m AS (SELECT page_id, html, hex, max(page_id) OVER (PARTITION BY hex) AS largest FROM p)
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+       (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                 1 + (CAST(('0x' || substr(hex, 5 * (i // 4) + 1, 5)) AS BIGINT) >> (15 - 5 * (i % 4))) % 32, 1), ''
+                          ORDER BY i) FROM range(32) t(i)) AS payload_digest,
+       CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> largest THEN largest END AS refers_to
+FROM m
+"""
+
+# Every pair of n-gram sets that share an n-gram, then the least id reached over links.
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+c AS (SELECT min(doc_id) AS rep, count(*) AS size, list_sort(s) AS s FROM g WHERE len(s) > 0 GROUP BY list_sort(s)),
+e AS (SELECT rep, len(s) AS n, unnest(s) AS x FROM c),
+o AS (SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k
+      FROM e a JOIN e b ON a.x = b.x AND a.rep <> b.rep GROUP BY a.rep, b.rep),
+l AS (SELECT a, b FROM o WHERE 10 * k >= 8 * (na + nb - k)),
+r AS (SELECT rep AS a, rep AS b FROM c UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+k AS (SELECT a, min(b) AS class_id FROM r GROUP BY a),
+n AS (SELECT c.rep, c.size - 1 + coalesce(sum(d.size), 0) AS links FROM c LEFT JOIN l ON l.a = c.rep LEFT JOIN c d ON d.rep = l.b
+      GROUP BY c.rep, c.size)
+SELECT g.doc_id, coalesce(c.rep, g.doc_id) AS copy_id, coalesce(k.class_id, g.doc_id) AS class_id,
+       CAST(coalesce(n.links, 0) AS BIGINT) AS n_links
+FROM g LEFT JOIN c ON len(g.s) > 0 AND list_sort(g.s) = c.s LEFT JOIN k ON k.a = c.rep LEFT JOIN n ON n.rep = c.rep
+"""
+
+OP7_SQL = """
+WITH RECURSIVE n AS (SELECT source, count(*) AS n, CAST(round(pow(count(*), 0.5) * 1000000) AS BIGINT) AS w FROM documents GROUP BY source),
+t AS (SELECT CAST(sum(n) AS DOUBLE) AS n, CAST(sum(w) AS DOUBLE) AS w FROM n),
+r AS (SELECT source, t.n * n.w / t.w / n.n AS rate, CAST(ceil(t.n * n.w / t.w / n.n / 16) AS BIGINT) AS m FROM n, t),
+c AS (SELECT source, m, rate / m AS rate, 0 AS k, exp(-(rate / m)) AS p, exp(-(rate / m)) AS total FROM r
+      UNION ALL SELECT source, m, rate, k + 1, p * rate / (k + 1), total + p * rate / (k + 1) FROM c WHERE k < 95),
+s AS (SELECT source, any_value(m) AS m, list(total ORDER BY k) AS sums FROM c GROUP BY source),
+u AS (SELECT d.*, s.sums, unnest(range(1, s.m + 1)) AS j FROM documents d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+x AS (SELECT doc_id, any_value(text) AS text, any_value(lang) AS lang, any_value(source) AS source, any_value(n_chars) AS n_chars,
+             CAST(sum(len(list_filter(sums, lambda p: p <= (CAST(('0x' || substr(md5('1:copies:' || doc_id || ':' || j), 1, 13)) AS BIGINT) + 0.5)
+                                                       / 4503599627370496.0))) AS BIGINT) AS copies
+      FROM u GROUP BY doc_id)
+SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(1, copies + 1)) AS INTEGER) AS replica FROM x WHERE copies > 0
+"""
+
+# Escaping puts one more backslash between "<", any backslashes and "|".
+OP8_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, i, ['user', 'assistant'][i + 1], '<|im_end|><|im_start|>assistant ok' FROM range(2) t(i)),
+f AS (SELECT *, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS escaped FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(length('<|im_start|><|im_end|>') + 2 + length(role) + length(escaped)) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op8_chat": OP8_SQL}
