@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, ngram_join, piece_bpe, ppm_language, quality_rules, token_shards, warc, weighted_sampling
+from . import chat, mixing, ngram_join, pii, piece_bpe, ppm_language, quality_rules, token_shards, warc, weighted_sampling
 from .common import table
 
 
@@ -12,6 +12,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_index(table(spark, sf_dir, "pages"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -49,7 +53,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op1_warc, op3_fingerprints, op4_quality_rules, op5_token_shards, op6_ngram_join,
+REGISTRY = {f.__name__: f for f in (op1_warc, op2_pii, op3_fingerprints, op4_quality_rules, op5_token_shards, op6_ngram_join,
                                     op7_mixing, op8_chat, op9_piece_bpe, op10_language)}
 
 # Payloads are told apart by their SHA-1, which is then spelled in base 32.
