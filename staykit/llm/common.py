@@ -45,6 +45,17 @@ def unused_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def hash_cut(wanted: int, total: int) -> int:
+    """The 64-bit hash below which about twice ``wanted`` of ``total`` rows lie (all, if there are few).
+
+    Sampling for a fit first drops the rows above it where they are read, so
+    what is then ordered or collected does not grow with the number of tasks.
+    """
+    if total <= 4 * wanted + 100:
+        return (1 << 63) - 1
+    return -(1 << 63) + int((1 << 64) * (2 * wanted + 50) / total)
+
+
 def filesystem(uri: str):
     """(pyarrow file system, path in it) of a shared folder; plain paths are local."""
     from pyarrow import fs
@@ -186,23 +197,24 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, width: int = 5) -> tup
     return np.concatenate(parts), np.concatenate(owners)
 
 
-class ChunkIds(dict):
+class ChunkIds:
     """Token ids (as bytes of little-endian uint32) of text chunks, bounded in size.
 
     ``encode_many`` gets a list of unseen chunks and returns the ids of each as
     bytes.  It lives as long as the Python worker, so a chunk that recurs over
     many batches is encoded once; beyond ``limit`` entries what is new is kept
-    for one batch only.
+    for one batch only.  ``known`` is a plain dict, for which set differences
+    cost in proportion to the set.
     """
 
     def __init__(self, encode_many, limit: int = 1_000_000):
-        super().__init__()
+        self.known: dict[str, bytes] = {}
         self.encode_many, self.limit, self.passing = encode_many, limit, []
 
     def learn(self, chunks: set) -> None:
-        """Make the ids of all ``chunks`` available until the next call."""
+        """Make the ids of all ``chunks`` available in ``known`` until the next call."""
         for c in self.passing:
-            del self[c]
-        new = list(chunks.difference(self))
-        self.passing = new[max(0, self.limit - len(self)):]
-        self.update(zip(new, self.encode_many(new)))
+            del self.known[c]
+        new = list(chunks.difference(self.known))
+        self.passing = new[max(0, self.limit - len(self.known)):]
+        self.known.update(zip(new, self.encode_many(new)))

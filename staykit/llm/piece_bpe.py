@@ -239,7 +239,7 @@ class PieceModel:
             (words if plain[-1] else chunks).update(docs[-1])
         self.words.learn(words)
         self.chunks.learn(chunks)
-        get = {True: self.words.__getitem__, False: self.chunks.__getitem__}
+        get = {True: self.words.known.__getitem__, False: self.chunks.known.__getitem__}
         return [b"".join(map(get[p], d)) for d, p in zip(docs, plain)]
 
     def decode(self, ids) -> str:

@@ -40,6 +40,7 @@ from .common import ChunkIds, filesystem, shuffle_width, text_array, write_once,
 
 MAGIC = b"RPTK"  # fixed value
 SAMPLE = 4096
+TAIL = ".,!?*$%&#|;:"  # punctuation without the apostrophe, which the tokenizer treats on its own
 NULL_ID = -(1 << 63)  # stands for a null document id in the file
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -69,39 +70,52 @@ class WordEncoder:
         self.opens = np.zeros(self.n_ids, bool)
         for token, i in vocab.items():
             self.opens[i] = token.startswith("Ġ")  # the byte-level spelling of a space (fixed value)
-        self.words = ChunkIds(self._encode_words)
+        self.words = ChunkIds(self._encode_words, 1_400_000)
+        self.tails: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for i in range(0, len(words), 256):
-            part = words[i:i + 256]
-            ids = np.frombuffer(self._whole([" " + " ".join(part)])[0], "<u4")
-            cuts = np.flatnonzero(self.opens[ids])
-            pieces = np.split(ids, cuts[1:])
-            if len(pieces) != len(part) or (len(cuts) and cuts[0]):
-                out += self._whole([" " + w for w in part])
+        # a letter before punctuation always ends a token, so words are encoded without their tails
+        plan, need = [], {}
+        for w in words:
+            core = w.rstrip(TAIL)
+            if len(core) == len(w) or not core or not core[-1].isalpha():
+                core = w
+            ids = self.words.known.get(core)
+            if ids is None:
+                need[core] = None
+            plan.append((core, w[len(core):], ids))
+        order = list(need)
+        for i in range(0, len(order), 256):
+            part = order[i:i + 256]
+            raw = self._whole([" " + " ".join(part)])[0]
+            cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(raw, "<u4")])).tolist()
+            if len(cuts) == len(part) and cuts[0] == 0:
+                need.update(zip(part, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)]))))
             else:
-                out += [p.tobytes() for p in pieces]
-        return out
+                need.update(zip(part, self._whole([" " + w for w in part])))
+        tails = {t for _, t, _ in plan}.difference(self.tails)
+        self.tails.update(zip(tails, self._whole(list(tails))))
+        return [(ids or need[core]) + self.tails[tail] for core, tail, ids in plan]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32 bytes."""
-        docs, words, whole = [], set(), []
-        for text in texts:
-            parts = text.split(" ")
-            # words with white space at an end would merge with their neighbour's
-            if all(map(_is_word, parts)):
-                docs.append(parts)
-                words.update(parts[1:])
-                whole.append(parts[0])
-            else:
-                docs.append(None)
+        docs, words = [t.split(" ") for t in texts], set()
+        for parts in docs:
+            words.update(parts)
+        # words with white space at an end would merge with their neighbour's; only new ones need a look
+        odd = {w for w in words.difference(self.words.known) if not _is_word(w)}
+        whole = []
+        for k, (text, parts) in enumerate(zip(texts, docs)):
+            if odd and not odd.isdisjoint(parts):
+                docs[k] = None
                 whole.append(text)
-        self.words.learn(words)
-        get = self.words.__getitem__
+            else:
+                whole.append(parts[0])
+        self.words.learn(words - odd)
+        get = self.words.known.__getitem__
         return [first + b"".join(map(get, parts[1:])) if parts else first
                 for first, parts in zip(self._whole(whole), docs)]
 
