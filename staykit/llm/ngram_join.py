@@ -252,10 +252,10 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     Rows that repeat a document's id and text are one document.
     """
     names = docs.columns
+    rank, hashed, kept_id = (unused_name(docs, n) for n in ("rank_in_text", "hash_of_text", "kept_id"))
     kept = (link_documents(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-            .select(F.col("doc_id").alias("kept_id")).distinct())
-    rank, hashed = unused_name(docs, "rank_in_text"), unused_name(docs, "hash_of_text")
-    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+            .select(F.col("doc_id").alias(kept_id)).distinct())
+    rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)), "left_semi")
     rows = rows.withColumn(hashed, F.xxhash64("text"))
     once = Window.partitionBy("doc_id", hashed).orderBy(hashed)
     return rows.withColumn(rank, F.row_number().over(once)).filter(F.col(rank) == 1).select(*names)
