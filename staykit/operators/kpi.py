@@ -46,18 +46,32 @@ def pct_change(cur: Column, prev: Column) -> Column:
 
 
 def mom_change(df: DataFrame, keys: Sequence[str], count_col: str, alias: str,
-               time_keys: Sequence[str] = TIME_KEYS) -> DataFrame:
+               time_keys: Sequence[str] = TIME_KEYS, previous: str | None = None,
+               absolute: str | None = None) -> DataFrame:
     """Percent change of ``count_col`` against the previous existing month.
 
     "Previous" is the last earlier month of the same keys whose count is
     positive (months without rows of that status do not exist for the
-    original's lag), and the change is NULL where the count is 0.
+    original's lag), and the change is NULL where the count is 0.  The count
+    of that month and the absolute change are added too where they are named.
     """
     w = (Window.partitionBy(*keys).orderBy(*time_keys)
          .rowsBetween(Window.unboundedPreceding, -1))
     cnt = F.col(count_col)
     prev = F.last(F.when(cnt > 0, cnt), ignorenulls=True).over(w)
-    return df.withColumn(alias, F.when(cnt > 0, pct_change(cnt, prev)))
+    more = {previous: prev} if previous else {}
+    if absolute:
+        more[absolute] = F.when(cnt > 0, cnt - prev)
+    return df.withColumns({**more, alias: F.when(cnt > 0, pct_change(cnt, prev))})
+
+
+def superhost_rate(fact: DataFrame, owners: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Percent of a group's distinct hosts that are superhosts (one row per host before the join)."""
+    g = [*keys, *TIME_KEYS]
+    hosts = fact.select(*g, "host_id").distinct().join(
+        owners.select("host_id", is_true_flag("host_is_superhost").alias("sup")), "host_id", "left")
+    return hosts.groupBy(*g).agg(
+        (_ratio(F.count(F.when(F.col("sup"), F.col("host_id"))), F.count("host_id")) * 100).alias("Superhost_rate"))
 
 
 def _prepare(fact: DataFrame, keys: Sequence[str], string_keys: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import norm_key, text_or_missing
-from .keys import broadcast_if_small, first_per_key
+from .keys import first_per_key
 
 LOOKUP_KEY = "_place_key"
 
@@ -37,8 +37,7 @@ def exclude_moved(raw: DataFrame, moved: DataFrame | None = None, id_col: str =
     return raw.join(moved, id_col, "left_anti")
 
 
-def reduced_lookup(location: DataFrame, trim: bool, max_rows: int = 200_000,
-                   state: str | None = None) -> DataFrame:
+def reduced_lookup(location: DataFrame, trim: bool, state: str | None = None) -> DataFrame:
     """Locality lookup reduced to one row per normalised name.
 
     Names are compared upper-cased (and trimmed when ``trim``).  Where a
@@ -46,8 +45,7 @@ def reduced_lookup(location: DataFrame, trim: bool, max_rows: int = 200_000,
     arbitrary one; here the row with the smallest (LGA_CODE, LOCALITY_TYPE,
     POSTCODE, STATE, LOCALITY_ID, LGA_NAME) wins.  ``state`` optionally
     restricts the lookup to one state, so a name shared with another state
-    cannot give the wrong region (the original did not restrict it).  The
-    reduced lookup is broadcast only after its size has been checked.
+    cannot give the wrong region (the original did not restrict it).
     """
     if state is not None:
         location = location.filter(F.col("STATE") == state)
@@ -55,19 +53,18 @@ def reduced_lookup(location: DataFrame, trim: bool, max_rows: int = 200_000,
         norm_key("LOCALITY_NAME", trim).alias(LOOKUP_KEY), "LGA_CODE", "LOCALITY_TYPE",
         "POSTCODE", "STATE", "LOCALITY_ID", "LGA_NAME")
     keyed = keyed.filter(F.col(LOOKUP_KEY).isNotNull())
-    one = first_per_key(keyed, [LOOKUP_KEY]).select(LOOKUP_KEY, "LGA_CODE")
-    return broadcast_if_small(one, max_rows)
+    return first_per_key(keyed, [LOOKUP_KEY]).select(LOOKUP_KEY, "LGA_CODE")
 
 
 def lookup_region(df: DataFrame, name_col, location: DataFrame, trim: bool,
-                  out_col: str = "lga_code", state: str | None = None,
-                  max_rows: int = 200_000) -> DataFrame:
+                  out_col: str = "lga_code", state: str | None = None) -> DataFrame:
     """Left join a region code by a place name (upper-cased, trimmed if asked).
 
-    The reduced lookup is broadcast when it has at most ``max_rows`` rows;
-    above that the join shuffles on the normalised name.
+    Whether the reduced lookup is broadcast is left to Spark: it is when its
+    measured bytes are below the session's broadcast threshold, else the join
+    shuffles on the normalised name.
     """
-    lk = reduced_lookup(location, trim, max_rows=max_rows, state=state)
+    lk = reduced_lookup(location, trim, state=state)
     keyed = df.withColumn(LOOKUP_KEY, norm_key(name_col, trim))
     return (keyed.join(lk, LOOKUP_KEY, "left")
             .withColumnRenamed("LGA_CODE", out_col).drop(LOOKUP_KEY))

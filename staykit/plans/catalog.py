@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from ..functions.clean import (host_city, is_true_flag, not_missing, parse_money, price_mixed_format,
                                snapshot_date, snapshot_month, snapshot_year)
 from ..operators.keys import (audit_duplicate_key, audit_foreign_key, audit_null_key, first_per_key,
-                              insert_if_absent)
-from ..operators.kpi import TIME_KEYS, group_kpis, host_region_kpis, mom_change, pct_change
+                              insert_if_absent, key_report)
+from ..operators.kpi import TIME_KEYS, group_kpis, host_region_kpis, mom_change, superhost_rate
 from ..operators.listings import exclude_moved, lookup_region, moved_ids
 from ..operators.median import exact_median
 from ..schemas import (G01_SCHEMA, G02_SCHEMA, LOCATION_KEY, LOCATION_SCHEMA, RAW_LISTING_SCHEMA,
@@ -30,7 +30,7 @@ from ..sources.snapshots import read_lookup_csv, read_snapshots, typed_projectio
 from . import refresh
 from .layers import materialized, written_once
 from .star import age_band_totals, build_census, build_fact, build_owners, fill_missing_region, \
-    host_listing_count, load_raw
+    host_listing_count, load_raw, owner_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -54,6 +54,7 @@ _KEY_OF = {
     "host_city_suppliers": "host_city",
     "host_listing_count_kept": "host_listing_count",
     "exclude_moved_raw": "exclude_moved",
+    "superhost_rate_region": "superhost_rate",
 }
 
 
@@ -148,6 +149,12 @@ def csv_census_scan(spark, d):
     return read_lookup_csv(spark, path, G01_SCHEMA)
 
 
+@query
+def csv_census_g02_scan(spark, d):
+    path = written_once(spark, d, "g02-csv", lambda p: export_table_csv(_census_parts(spark, d)[1], p))
+    return read_lookup_csv(spark, path, G02_SCHEMA)
+
+
 @query
 def load_snapshots(spark, d):
     return lineage_columns(load_raw(_csv_rows(spark, d)))
@@ -207,8 +214,9 @@ def overwrite_roundtrip(spark, d):
 
 @query
 def fill_missing_region_owners(spark, d):
-    _, owners = _star(spark, d)
-    return fill_missing_region(owners).select("host_id", "lga_code")
+    raw, loc = _raw(spark, d), _location(spark, d)
+    moved = materialized(spark, d, "moved", lambda: moved_ids(raw))
+    return fill_missing_region(owner_rows(raw, loc, moved)).select("host_id", "lga_code")
 
 
 @query
@@ -227,6 +235,36 @@ def audit_foreign_key_census(spark, d):
     return audit_foreign_key(_fact(spark, d), census, "lga_code", "LGA_CODE_2016")
 
 
+@query
+def audit_owners_key(spark, d):
+    return key_report(_star(spark, d)[1], ["host_id"])
+
+
+@query
+def audit_census_key(spark, d):
+    return key_report(build_census(*_census_parts(spark, d)), ["LGA_CODE_2016"])
+
+
+@query
+def audit_kpi_key(spark, d):
+    fact, owners = _star(spark, d)
+    return key_report(group_kpis(fact, owners, REGION_KEYS), REGION_MONTH)
+
+
+@query
+def load_rejects(spark, d):
+    """Rows whose id or host id is no number, or whose file has no date, counted by file and reason."""
+    from ..operators.quality import split_rejects
+
+    rows = _rows(spark, d)
+    text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    bad = F.col("beds")
+    text = text.withColumns({"id": F.when(bad.isin("6", "7"), F.concat(F.lit("x"), "id")).otherwise(F.col("id")),
+                             "host_id": F.when(bad == "4", F.lit("1E+x")).otherwise(F.col("host_id")),
+                             "filename": F.when(bad == "5", F.lit("in/undated.csv")).otherwise(F.col("filename"))})
+    return split_rejects(typed_projection(text, RAW_LISTING_SCHEMA))[1]
+
+
 # --------------------------------------------------------------------------- filters / scalars
 @query
 def active_filter(spark, d):
@@ -335,6 +373,12 @@ def superhost_count(spark, d):
             .agg(F.countDistinct("host_id").alias("superhosts")))
 
 
+@query
+def superhost_rate_region(spark, d):
+    fact, owners = _star(spark, d)
+    return superhost_rate(fact, owners, REGION_KEYS)
+
+
 # --------------------------------------------------------------------------- aggregates
 @query
 def active_rate(spark, d):
@@ -375,15 +419,9 @@ def stays_and_revenue(spark, d):
 
 
 def _mom(f: DataFrame, keys) -> DataFrame:
-    from pyspark.sql import Window
-
     g = (f.filter(is_true_flag("has_availability")).groupBy(*keys, *TIME_KEYS)
          .agg(F.count("id").alias("active_listings")))
-    w = Window.partitionBy(*keys).orderBy(*TIME_KEYS)
-    prev = F.lag("active_listings").over(w)
-    return g.select(*keys, *TIME_KEYS, "active_listings", prev.alias("prev_active_listings")).select(
-        "*", (F.col("active_listings") - F.col("prev_active_listings")).alias("change_abs"),
-        pct_change(F.col("active_listings"), F.col("prev_active_listings")).alias("change_pct"))
+    return mom_change(g, keys, "active_listings", "change_pct", previous="prev_active_listings", absolute="change_abs")
 
 
 @query
@@ -434,19 +472,50 @@ def kpi_host_region_month(spark, d):
     return host_region_kpis(fact, owners)
 
 
-@query
-def end_to_end_region_kpi(spark, d):
-    """Every stage from the CSV files to the region KPI table (written, read back)."""
-    inputs = {
+def _job_inputs(spark, d) -> dict:
+    return {
         "listings": _snapshot_files(spark, d),
         "location": written_once(spark, d, "location-csv", lambda p: export_table_csv(_location(spark, d), p)),
         "g01": written_once(spark, d, "g01-csv", lambda p: export_table_csv(_census_parts(spark, d)[0], p)),
         "g02": written_once(spark, d, "g02-csv", lambda p: export_table_csv(_census_parts(spark, d)[1], p)),
     }
-    out = refresh.run(spark, inputs, scratch_path(spark, "refresh"))
+
+
+@query
+def end_to_end_region_kpi(spark, d):
+    """Every stage from the CSV files to the region KPI table (written, read back)."""
+    out = refresh.run(spark, _job_inputs(spark, d), scratch_path(spark, "refresh"))
     return spark.read.parquet(out["kpi_region_month"])
 
 
+def _refreshed(spark, d) -> str:
+    return written_once(spark, d, "refresh", lambda p: refresh.run(spark, _job_inputs(spark, d), p))
+
+
+@query
+def pipeline_segment_kpi(spark, d):
+    return spark.read.parquet(f"{_refreshed(spark, d)}/kpi/segment_month")
+
+
+@query
+def pipeline_host_kpi(spark, d):
+    return spark.read.parquet(f"{_refreshed(spark, d)}/kpi/host_region_month")
+
+
+@query
+def pipeline_append(spark, d):
+    """Facts after three appends of files, the second stopped after the raw layer and made good by the third."""
+    rows = _rows(spark, d)
+    year = F.year(F.to_date("calendar_last_scraped"))
+    root = scratch_path(spark, "append")
+    inputs = _job_inputs(spark, d)
+    for part, cond, until in (("a", year < 1996, None), ("b", year == 1996, "raw"), ("c", year > 1996, None)):
+        export_snapshots(rows.filter(cond), f"{root}/in/{part}")
+        out = refresh.run(spark, dict(inputs, listings=f"{root}/in/{part}"), f"{root}/out", mode="append", until=until)
+    return spark.read.parquet(out["fact"]).select("id", "year", "month", "host_id", "lga_code",
+                                                  F.col("price").cast("double").alias("price"))
+
+
 @query
 def incremental_load(spark, d):
     """The snapshot load as an availableNow file stream with keyed appends."""

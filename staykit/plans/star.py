@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import host_city, price_mixed_format, snapshot_month, snapshot_year
+from ..functions.clean import host_city, price_mixed_format, snapshot_date, snapshot_month, snapshot_year
 from ..operators.keys import first_per_key
 from ..operators.listings import exclude_moved, lookup_region, moved_ids
 from ..schemas import (CENSUS_AGE_55_PLUS, CENSUS_AGE_UNDER_55, CENSUS_COLUMNS, CENSUS_KEY,
@@ -24,8 +24,8 @@ def build_fact(raw: DataFrame, location: DataFrame, moved: DataFrame | None = No
 
     Moved listings out; region by the upper-cased place name; price parsed
     in either text regime; year and month from the snapshot file name.  A
-    key met in two files (the same month under two folders) keeps the row of
-    the first file name.
+    key met in two files keeps the row of the earlier snapshot date, then of the
+    first file name.
     """
     kept = exclude_moved(raw, moved)
     kept = lookup_region(kept, "neighbourhood_cleansed", location, trim=False)
@@ -36,7 +36,8 @@ def build_fact(raw: DataFrame, location: DataFrame, moved: DataFrame | None = No
         "has_availability", "number_of_reviews", "calendar_last_scraped",
         snapshot_month("filename").alias("month"), snapshot_year("filename").alias("year"),
         "lga_code", "review_scores_rating")
-    return first_per_key(rows, FACT_KEY, order=["filename"]).select(*FACT_COLUMNS)
+    rows = rows.withColumn("_date", snapshot_date("filename"))
+    return first_per_key(rows, FACT_KEY, order=["_date", "filename"]).select(*FACT_COLUMNS)
 
 
 def host_listing_count(kept: DataFrame) -> DataFrame:
@@ -44,30 +45,31 @@ def host_listing_count(kept: DataFrame) -> DataFrame:
     return kept.groupBy("host_id").agg(F.countDistinct("id").alias("host_tot_list_new"))
 
 
-def build_owners(raw: DataFrame, location: DataFrame, moved: DataFrame | None = None,
-                 default_region: str = DEFAULT_HOST_REGION) -> DataFrame:
-    """Owner dimension, one row per host.
-
-    The home town is the first comma-separated part of the host location,
-    upper-cased (stored untrimmed, matched trimmed).  Hosts whose town is
-    not in the lookup get ``default_region``.  One aggregate per host gives
-    both the first row of host attributes (in column order, as
-    ``first_per_key``) and the number of distinct kept listings; Spark plans
-    it as (host, listing) then host, combining map-side at both levels, so a
-    host with a third of all listings is never gathered in one task.
+def owner_rows(raw: DataFrame, location: DataFrame, moved: DataFrame | None = None) -> DataFrame:
+    """One row per host, region NULL where the home town is not in the lookup.
+
+    The attributes are those of the host's earliest snapshot date (of equal
+    dates, of the smallest listing id, then first in column order).  The home
+    town is the first comma-separated part of the host location, upper-cased
+    (stored untrimmed, matched trimmed).  Two aggregates of kept rows, both
+    combined map-side: the first attributes of each host, and its number of
+    distinct listings; the lookup joins to one row a host.
     """
     kept = exclude_moved(raw, moved)
-    hosts = kept.select(
-        "host_id", "id", "host_name", host_city("host_location").alias("host_loc_cleaned"),
-        "host_total_listings_count", "host_is_superhost", "host_location")
-    hosts = lookup_region(hosts, F.split_part(F.col("host_location"), F.lit(","), F.lit(1)),
-                          location, trim=True).drop("host_location")
-    attrs = ["host_name", "host_loc_cleaned", "host_total_listings_count", "host_is_superhost", "lga_code"]
-    one = hosts.groupBy("host_id").agg(
-        F.min(F.struct(*[F.col(c) for c in attrs])).alias("_first"),
-        F.countDistinct("id").alias("host_tot_list_new"))
-    owners = one.select("host_id", *[F.col("_first")[c].alias(c) for c in attrs], "host_tot_list_new")
-    return fill_missing_region(owners, default_region).select(*OWNER_COLUMNS)
+    attrs = ["host_name", "host_location", "host_total_listings_count", "host_is_superhost"]
+    dated = kept.select("host_id", "id", *attrs, snapshot_date("filename").alias("_date"))
+    one = dated.groupBy("host_id").agg(
+        F.min(F.struct("_date", "id", *attrs)).alias("_first"), F.countDistinct("id").alias("host_tot_list_new"))
+    hosts = one.select("host_id", *[F.col("_first")[c].alias(c) for c in attrs], "host_tot_list_new")
+    hosts = hosts.withColumn("host_loc_cleaned", host_city("host_location"))
+    return lookup_region(hosts, F.split_part(F.col("host_location"), F.lit(","), F.lit(1)), location,
+                         trim=True).select(*OWNER_COLUMNS)
+
+
+def build_owners(raw: DataFrame, location: DataFrame, moved: DataFrame | None = None,
+                 default_region: str = DEFAULT_HOST_REGION) -> DataFrame:
+    """Owner dimension, one row per host; hosts without a region get ``default_region``."""
+    return fill_missing_region(owner_rows(raw, location, moved), default_region)
 
 
 def fill_missing_region(owners: DataFrame, default_region: str = DEFAULT_HOST_REGION) -> DataFrame:

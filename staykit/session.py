@@ -2,7 +2,7 @@
 
 Library code never invents a machine-local folder on a cluster: intermediate
 tables and lineage cuts go under ``spark.checkpoint.dir``, which the cluster
-names.  Only when that setting is absent (local runs, tests) is a temporary
+names.  Only on a local master without that setting (tests) is a temporary
 directory chosen and registered as the checkpoint dir.
 """
 
@@ -61,12 +61,15 @@ def cluster_conf(total_cores: int, partition_mb: int = 256) -> dict[str, str]:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); sets a
-    temporary one only when neither is configured.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  Where
+    neither is configured a local master (tests) gets a temporary one; any
+    other master is refused, as its executors would not see that folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="staykit-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -9,9 +9,10 @@ Listing snapshot rows (one per ``lineitem`` row):
 listing column             derived from
 =========================  =================================================
 id                         l_orderkey (an order plays a listing)
-host_id / host_name        l_suppkey / s_name
-host_location              ' ' + lower(supplier nation) + ' , X, Y'
-host_is_superhost          't' when s_acctbal > 5000
+host_id / host_name        l_suppkey / s_name, with ' Ltd' every fourth month
+host_location              ' ' + lower(supplier nation) + ' , X, Y'; the customer's
+                           nation in November
+host_is_superhost          't' when s_acctbal > 5000, the opposite in May
 host_total_listings_count  s_nationkey + 1
 neighbourhood_cleansed     customer nation name; lower-cased on returned
                            lines with the top discount (a case-only change,
@@ -50,9 +51,9 @@ LISTING_EXPR = {
     "description": "concat('Listing ', l_orderkey, ' line ', l_linenumber, '\n\"', c_mktsegment, '\" segment')",
     "last_scraped": "date_format(l_shipdate, 'yyyy-MM-dd')",
     "host_id": "l_suppkey",
-    "host_name": "s_name",
-    "host_location": "concat(' ', lower(sn.n_name), ' , X, Y')",
-    "host_is_superhost": "case when s_acctbal > 5000 then 't' else 'f' end",
+    "host_name": "concat(s_name, case when month(l_shipdate) % 4 = 0 then ' Ltd' else '' end)",
+    "host_location": "concat(' ', lower(case when month(l_shipdate) = 11 then cn.n_name else sn.n_name end), ' , X, Y')",
+    "host_is_superhost": "case when (s_acctbal > 5000) <> (month(l_shipdate) = 5) then 't' else 'f' end",
     "host_total_listings_count": "s_nationkey + 1",
     "neighbourhood_cleansed": "case when l_returnflag = 'R' and l_discount > 0.095 then lower(cn.n_name) else cn.n_name end",
     "property_type": "p_type",

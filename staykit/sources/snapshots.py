@@ -4,7 +4,8 @@ Spark's multi-file CSV read takes one header and matches every other file
 *by position*, which silently misplaces columns when files order them
 differently.  So the reader
 
-1. lists the files (Spark's file index, any Hadoop file system);
+1. lists the files (Spark's file index, any Hadoop file system); a name that
+   is no CSV by its ending is refused, not skipped;
 2. reads the first line of each file (a few bytes per file, on the driver,
    through the Hadoop file system API so ``.gz`` and remote stores work);
 3. issues one distributed CSV read per distinct header, with an all-string
@@ -13,12 +14,16 @@ differently.  So the reader
    groups by name (a column a file lacks becomes NULL);
 5. casts to the landing types (NA tokens to NULL; bad numbers to NULL).
 
-``multiLine`` CSV is not splittable (one task per file), which suits one
-file per month; the frame is wide and read once.
+There is one reader for files of any size, for batch and stream.  Records may
+span lines, so a file is one task; a caller whose files are known to hold no
+line breaks in values can pass ``multi_line=False``, and then Spark splits
+plain files by blocks.  Compressed files are one task each either way: write
+inputs as files of at most a few hundred MB.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from functools import reduce
 from typing import Iterable, Sequence
@@ -33,22 +38,37 @@ from ..schemas import DROPPED_LISTING_COLUMNS, RAW_LISTING_SCHEMA
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
 
 
-SUFFIXES = (".csv", ".csv.gz", ".gz")
-# Files larger than this are read by the splittable reader (see splitcsv).
-SPLIT_BYTES = 256 * 1024 * 1024
+COMPRESSED = (".gz", ".bz2")
 
 
-def file_sizes(spark: SparkSession, root: str, suffixes: Sequence[str] = SUFFIXES) -> dict[str, int]:
-    """Data files under ``root`` (recursively) with their sizes, from Spark's file index."""
+def canonical_path(path: str) -> str:
+    """One spelling of a file's path, as :func:`lineage` writes it."""
+    return re.sub(r"^file:/+", "file:/", path)
+
+
+def lineage():
+    """The path of a row's file: escapes undone, one spelling of the local scheme."""
+    decoded = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    return F.regexp_replace(decoded, r"^file:/+", "file:/")
+
+
+def list_files(spark: SparkSession, root: str) -> list[str]:
+    """Data files under ``root`` (recursively) as Spark's file index sees them.
+
+    Empty files hold no header and no rows and are left out.  Any other file
+    that is not named as a CSV raises, so no input is passed over in silence.
+    """
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                .load(root).select("path", "length"))
-    # empty files carry no header and no rows
-    return {r.path: r.length for r in listing.collect() if r.path.endswith(tuple(suffixes)) and r.length > 0}
+    files = sorted(canonical_path(r.path) for r in listing.filter("length > 0").collect())
+    return checked_names(files)
 
 
-def list_files(spark: SparkSession, root: str, suffixes: Sequence[str] = SUFFIXES) -> list[str]:
-    """Data files under ``root`` (recursively), as Spark's file index sees them."""
-    return sorted(file_sizes(spark, root, suffixes))
+def checked_names(files: Sequence[str]) -> list[str]:
+    odd = [f for f in files if not (f.lower().endswith(".csv") or f.endswith(COMPRESSED))]
+    if odd:
+        raise ValueError(f"not named as CSV files: {odd[:5]}{' ...' if len(odd) > 5 else ''}")
+    return list(files)
 
 
 def first_line(spark: SparkSession, path: str) -> str:
@@ -92,7 +112,7 @@ def read_csv_group(spark: SparkSession, header: Sequence[str], files: Sequence[s
     """One CSV read of files sharing ``header``; every column read as text."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
     reader = spark.read.schema(schema).options(**{**CSV_OPTIONS, **(options or {})})
-    return reader.csv(list(files)).withColumn("filename", F.col("_metadata.file_path"))
+    return reader.csv(list(files)).withColumn("filename", lineage())
 
 
 def _to_number(c, dtype: T.DataType):
@@ -135,47 +155,33 @@ def typed_projection(df: DataFrame, schema: T.StructType = RAW_LISTING_SCHEMA) -
     return df.select(*cols)
 
 
-def read_csv_by_header(spark: SparkSession, root: str, schema: T.StructType,
-                       dropped: Sequence[str] = (), lineage: bool = True,
-                       multi_line: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Every CSV under ``root``, read once per distinct header, typed to ``schema``.
+def read_csv_by_header(spark: SparkSession, root: str | None, schema: T.StructType,
+                       dropped: Sequence[str] = (), with_lineage: bool = True, multi_line: bool = True,
+                       files: Sequence[str] | None = None) -> DataFrame:
+    """Every CSV under ``root`` (or just ``files``), read once per distinct header, typed to ``schema``.
 
     ``dropped`` columns go when present; unknown extra columns are dropped
-    too (the original's insert would have failed on them).  ``multi_line``
-    allows quoted line breaks; such files are one task each, so files larger
-    than ``split_bytes`` (uncompressed) go through the splittable reader,
-    which works per file block.  Files known to hold no line breaks in values
-    can be read with ``multi_line=False``.
+    too (the original's insert would have failed on them).
     """
-    from .splitcsv import read_csv_split
-
-    sizes = file_sizes(spark, root)
-    groups = group_by_header(spark, sorted(sizes))
+    files = list_files(spark, root) if files is None else checked_names(files)
+    groups = group_by_header(spark, files)
     if not groups:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
     opts = {"multiLine": "true" if multi_line else "false"}
-    frames = []
-    for h, fs in sorted(groups.items()):
-        big = [f for f in fs if multi_line and sizes[f] > split_bytes and not f.endswith(".gz")]
-        small = [f for f in fs if f not in big]
-        if small:
-            frames.append(read_csv_group(spark, h, small, opts).drop(*dropped))
-        if big:
-            frames.append(read_csv_split(spark, h, big).drop(*dropped))
-    if not lineage:
+    frames = [read_csv_group(spark, h, fs, opts).drop(*dropped) for h, fs in sorted(groups.items())]
+    if not with_lineage:
         frames = [f.drop("filename") for f in frames]
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return typed_projection(union, schema)
 
 
-def read_snapshots(spark: SparkSession, root: str, schema: T.StructType = RAW_LISTING_SCHEMA,
+def read_snapshots(spark: SparkSession, root: str | None, schema: T.StructType = RAW_LISTING_SCHEMA,
                    dropped: Sequence[str] = DROPPED_LISTING_COLUMNS, multi_line: bool = True,
-                   split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """All listing snapshot files under ``root`` as one typed frame with ``filename``."""
-    return read_csv_by_header(spark, root, schema, dropped, lineage=True, multi_line=multi_line,
-                              split_bytes=split_bytes)
+                   files: Sequence[str] | None = None) -> DataFrame:
+    """Listing snapshot files (all under ``root``, or just ``files``) as one typed frame with ``filename``."""
+    return read_csv_by_header(spark, root, schema, dropped, multi_line=multi_line, files=files)
 
 
 def read_lookup_csv(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """A lookup or census CSV (one or more files) with a fixed target schema."""
-    return read_csv_by_header(spark, root, schema, lineage=False)
+    return read_csv_by_header(spark, root, schema, with_lineage=False)

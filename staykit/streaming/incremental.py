@@ -5,7 +5,7 @@ with ``trigger(availableNow=True)``: each run picks up only files the
 stream's checkpoint has not seen.  A file stream needs one fixed schema,
 but snapshot headers drift, so the stream only discovers files (the
 ``binaryFile`` source, path column only) and ``foreachBatch`` reads each
-batch's files with the header-grouped CSV reader and appends only the keys
+batch's files with the same reader as the batch job and appends only the keys
 not yet in the raw table.
 
 Exactly-once: the stream checkpoint records processed files; a batch that is
@@ -19,11 +19,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.keys import first_per_key, rows_to_add
-from ..schemas import DROPPED_LISTING_COLUMNS, RAW_LISTING_KEY, RAW_LISTING_SCHEMA
-from ..sources.snapshots import group_by_header, read_csv_group, typed_projection
+from ..operators.keys import rows_to_add
+from ..operators.quality import split_rejects
+from ..plans.refresh import has_data, unseen_files
+from ..plans.star import load_raw
+from ..schemas import RAW_LISTING_KEY
+from ..sources.snapshots import canonical_path, checked_names, read_snapshots
 
-SUFFIXES = (".csv", ".csv.gz")
 # Schema of the binaryFile source (a stream must declare it).
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -33,39 +35,25 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
-
-
-def load_files(spark: SparkSession, files: list[str]) -> DataFrame | None:
-    """Typed snapshot rows of exactly ``files`` (grouped by header)."""
-    groups = group_by_header(spark, files)
-    frames = [read_csv_group(spark, h, fs).drop(*DROPPED_LISTING_COLUMNS) for h, fs in sorted(groups.items())]
-    if not frames:
-        return None
-    union = frames[0]
-    for f in frames[1:]:
-        union = union.unionByName(f, allowMissingColumns=True)
-    return typed_projection(union, RAW_LISTING_SCHEMA)
-
-
 def append_batch(spark: SparkSession, batch: DataFrame, raw_path: str) -> None:
-    """foreachBatch body: load the batch's files and append their new keys."""
-    files = sorted({r.path for r in batch.select("path").distinct().collect()})
-    files = [f for f in files if f.endswith(SUFFIXES)]
-    rows = load_files(spark, files)
-    if rows is None:
+    """foreachBatch body: load the batch's files and append what is not there yet.
+
+    Only ever appends: a batch that is run again finds its files in the table
+    (a write commits all rows of a batch or none) and has nothing left to add.
+    """
+    files = checked_names(sorted({canonical_path(r.path) for r in batch.select("path").distinct().collect()}))
+    files = unseen_files(spark, files, raw_path)
+    if not files:
         return
-    if _table_exists(spark, raw_path):
+    rows, rejects = split_rejects(read_snapshots(spark, None, files=files))
+    if has_data(spark, raw_path):
+        existing = spark.read.parquet(raw_path)
         # a key contains its file name, so only rows of these files can clash
-        existing = spark.read.parquet(raw_path).filter(F.col("filename").isin(files))
-        rows_to_add(rows, existing, RAW_LISTING_KEY).select(*existing.columns) \
-            .write.mode("append").parquet(raw_path)
+        clash = existing.filter(F.col("filename").isin(files))
+        rows_to_add(rows, clash, RAW_LISTING_KEY).select(*existing.columns).write.mode("append").parquet(raw_path)
     else:
-        first_per_key(rows, RAW_LISTING_KEY).write.mode("overwrite").parquet(raw_path)
+        load_raw(rows).write.mode("append").parquet(raw_path)
+    rejects.write.mode("append").parquet(f"{raw_path}.rejects")
 
 
 def start(spark: SparkSession, in_dir: str, raw_path: str, checkpoint: str, max_files: int = 1000):
@@ -74,7 +62,7 @@ def start(spark: SparkSession, in_dir: str, raw_path: str, checkpoint: str, max_
              .option("recursiveFileLookup", "true")
              .option("maxFilesPerTrigger", max_files)
              .load(in_dir)
-             .select("path"))
+             .filter("length > 0").select("path"))
     return (files.writeStream
             .foreachBatch(lambda batch, _epoch: append_batch(batch.sparkSession, batch, raw_path))
             .option("checkpointLocation", checkpoint)

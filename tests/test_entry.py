@@ -2,14 +2,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from staykit.plans.catalog import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem".split()
 
 
 def test_contract_keys():
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 45
+    assert set(REGISTRY) <= set(E.queries()) and set(REGISTRY) <= set(E.oracle_sql()) <= set(E.queries())
+    assert len(REGISTRY) >= 55
 
 
 def test_entry_runs(spark):
@@ -36,7 +37,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(REGISTRY))
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF)
     s_cols = df.columns

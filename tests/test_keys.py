@@ -1,5 +1,5 @@
-from staykit.operators.keys import (audit_duplicate_key, audit_foreign_key, audit_null_key, broadcast_if_small,
-                                    first_per_key, insert_if_absent, rows_to_add)
+from staykit.operators.keys import (audit_duplicate_key, audit_foreign_key, audit_null_key, first_per_key,
+                                    insert_if_absent, key_report, rows_to_add)
 
 
 def test_first_per_key_total_order_nulls_first(spark):
@@ -47,10 +47,18 @@ def test_audits(spark):
     assert [(r.fk, r.n_rows) for r in audit_foreign_key(fact, dim, "fk", "pk").collect()] == [("Z", 1)]
 
 
-def test_broadcast_only_when_small(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    plan_small = spark.range(100).join(broadcast_if_small(small, 50), "id")._jdf.queryExecution().toString()
-    assert "broadcast" in plan_small.lower()
-    # above the bound the frame comes back unhinted
-    assert broadcast_if_small(big, 50) is big
+def test_foreign_key_audit_counts_before_the_join(spark):
+    fact = spark.createDataFrame([(i, "hot" if i % 3 else "A") for i in range(900)], "id int, fk string")
+    dim = spark.createDataFrame([("A",)], "pk string")
+    out = audit_foreign_key(fact, dim, "fk", "pk")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftAnti") < plan.index("Aggregate [fk")  # the join stands above the counts
+    assert [(r.fk, r.n_rows) for r in out.collect()] == [("hot", 600)]
+
+
+def test_key_report(spark):
+    rows = [(1, "a"), (1, "a"), (1, "b"), (None, "a"), (2, None), (2, None), (None, None)]
+    r = key_report(spark.createDataFrame(rows, "k int, s string"), ["k", "s"]).first().asDict()
+    assert r == {"n_rows": 7, "n_null_key": 4, "n_null_k": 2, "n_null_s": 3, "n_duplicate_keys": 1}
+    empty = key_report(spark.createDataFrame([], "k int"), ["k"]).first()
+    assert tuple(empty) == (0, 0, 0, 0)

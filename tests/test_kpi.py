@@ -4,8 +4,8 @@ from decimal import Decimal
 import duckdb
 import pytest
 
+from duck_oracle import HOST_REGION_TAIL, kpi_query
 from staykit.operators.kpi import group_kpis, host_region_kpis
-from staykit.oracle import HOST_REGION_SQL, kpi_sql
 
 FACT = ("id bigint, host_id bigint, lga_code string, property_type string, room_type string, accommodates int, "
         "year int, month int, price decimal(12,2), availability_30 int, has_availability string, "
@@ -112,8 +112,7 @@ def test_one_pass_equals_literal_join_sql(spark, keys, seed):
     pf = f.toPandas()
     for k in string_keys:
         pf[k] = pf[k].fillna("NaN")
-    body, subs = kpi_sql("fact", keys)
-    sql = "WITH " + ", ".join(f"{n} AS ({b})" for n, b in subs.items()) + " " + body
+    sql = kpi_query("fact", keys, lambda *tables, extra: "WITH " + ", ".join(f"{n} AS ({b})" for n, b in extra.items()) + " ")
     cols, want = duck_rows(sql, {"fact": pf, "owners": o.toPandas()})
     order = sorted(cols)
     a = sorted((tuple(norm(r[c]) for c in order) for r in got.collect()), key=repr)
@@ -126,8 +125,7 @@ def test_host_region_equals_sql(spark):
     f = spark.createDataFrame(rows, FACT)
     o = spark.createDataFrame(owners, OWN)
     got = host_region_kpis(f, o)
-    sql = HOST_REGION_SQL[HOST_REGION_SQL.index("hosts_by_region AS"):]
-    cols, want = duck_rows("WITH " + sql, {"fact": f.toPandas(), "owners": o.toPandas()})
+    cols, want = duck_rows(HOST_REGION_TAIL, {"fact": f.toPandas(), "owners": o.toPandas()})
     order = sorted(cols)
     a = sorted((tuple(norm(r[c]) for c in order) for r in got.collect()), key=repr)
     b = sorted((tuple(norm(r[cols.index(c)]) for c in order) for r in want), key=repr)

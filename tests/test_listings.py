@@ -47,7 +47,7 @@ def test_lookup_without_broadcast_gives_the_same_regions(spark):
         try:
             for k in keys:
                 spark.conf.set(k, "-1")  # no size-based broadcast either: a shuffle join
-            big = lookup_region(df, "place", loc, trim=trim, max_rows=0)
+            big = lookup_region(df, "place", loc, trim=trim)
             assert "SortMergeJoin" in big._jdf.queryExecution().executedPlan().toString()
             big = sorted(map(tuple, big.collect()), key=repr)
         finally:

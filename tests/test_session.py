@@ -1,3 +1,5 @@
+import pytest
+
 from staykit.session import checkpoint_root, cluster_conf, scratch_path
 
 
@@ -20,3 +22,18 @@ def test_cluster_conf_scales_with_cores():
     assert small["spark.sql.adaptive.enabled"] == "true"
     assert small["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert int(big["spark.sql.shuffle.partitions"]) > int(small["spark.sql.shuffle.partitions"])
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

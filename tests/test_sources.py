@@ -1,7 +1,9 @@
 import gzip
 import os
 
-from staykit.sources.snapshots import parse_header, read_lookup_csv, read_snapshots
+import pytest
+
+from staykit.sources.snapshots import list_files, parse_header, read_lookup_csv, read_snapshots
 from staykit.schemas import LOCATION_SCHEMA
 
 
@@ -66,29 +68,32 @@ def test_single_line_mode_reads_same_rows(spark, scratch):
     assert a == b == [(1, "$1,250.00"), (2, "$5.00")]
 
 
-def test_split_reader_equals_multiline_reader(spark, scratch):
-    import random
+def test_stray_quote_and_line_breaks(spark, scratch):
+    root = local_dir(scratch("csv"))
+    write(root, "2020-01-01.csv", 'id,host_id,description\n1,10,5" pipe\n2,10,"a\nb"\n3,11," pad "\n4,11,"say ""hi"""\n')
+    got = {r.id: r.description for r in read_snapshots(spark, root).collect()}
+    assert got == {1: '5" pipe', 2: "a\nb", 3: " pad ", 4: 'say "hi"'}
+
 
+def test_unknown_names_raise_and_upper_case_is_read(spark, scratch):
     root = local_dir(scratch("csv"))
-    rnd = random.Random(5)
-    texts = ["plain", "two\nlines", 'has ""quotes""', "a, comma", "three\n\nlines \"\" q", ""]
-    body = []
-    for i in range(1500):
-        t = rnd.choice(texts)
-        cell = f'"{t}"' if any(ch in t for ch in '\n",') else t
-        body.append(f"{i},{rnd.randint(1, 99)},{cell}")
-    write(root, "2020-01-01.csv", "id,host_id,description\n" + "\n".join(body[:700]) + "\n")
-    write(root, "2020-02-01.csv", "description,id,host_id\n" + "\n".join(
-        ",".join([r.split(",", 2)[2], *r.split(",", 2)[:2]]) for r in body[700:]) + "\n")
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")  # many blocks per file
-    try:
-        split = read_snapshots(spark, root, split_bytes=0).select("id", "host_id", "description", "filename")
-        whole = read_snapshots(spark, root).select("id", "host_id", "description", "filename")
-        a, b = sorted(map(tuple, split.collect())), sorted(map(tuple, whole.collect()))
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert len(a) == 1500 and a == b
+    write(root, "2020-01-01.CSV", "id,host_id\n1,10\n")
+    assert [r.id for r in read_snapshots(spark, root).collect()] == [1]
+    write(root, "2020-02-01.txt", "id,host_id\n2,10\n")
+    with pytest.raises(ValueError, match="2020-02-01.txt"):
+        read_snapshots(spark, root)
+
+
+def test_gzip_without_csv_in_its_name(spark, scratch):
+    root = local_dir(scratch("csv"))
+    write(root, "listings0.gz", "id,host_id\n1,10\n", gz=True)
+    assert [r.id for r in read_snapshots(spark, root).collect()] == [1]
+
+
+def test_lineage_is_spelled_as_the_listing(spark, scratch):
+    root = local_dir(scratch("my in")) + "/a+b %20"
+    write(root, "2020-01-01.csv", "id,host_id\n1,10\n")
+    assert [r.filename for r in read_snapshots(spark, root).collect()] == list_files(spark, root)
 
 
 def test_empty_file_is_skipped(spark, scratch):
@@ -101,9 +106,8 @@ def test_empty_file_is_skipped(spark, scratch):
 def test_lineage_wins_over_a_filename_column_in_the_file(spark, scratch):
     root = local_dir(scratch("csv"))
     write(root, "2020-01-01.csv", "id,filename,host_id\n1,elsewhere.csv,10\n")
-    for split in (0, 1 << 30):
-        rows = read_snapshots(spark, root, split_bytes=split).collect()
-        assert [r.filename.endswith("2020-01-01.csv") for r in rows] == [True]
+    rows = read_snapshots(spark, root).collect()
+    assert [r.filename.endswith("2020-01-01.csv") for r in rows] == [True]
 
 
 def test_integer_columns_take_whole_decimals(spark, scratch):

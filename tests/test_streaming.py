@@ -21,3 +21,29 @@ def test_available_now_stream_appends_only_new_files(spark, scratch):
     export_snapshots(late, f"{root}/in/b")
     n2 = run_available(spark, f"{root}/in", raw_path, ckpt).count()
     assert n2 == n1 + late.select("id", "filename").distinct().count()
+
+
+def test_stream_reads_what_the_batch_reads_and_never_overwrites(spark, scratch):
+    import gzip
+    import os
+
+    root = scratch("my stream").replace("file:", "", 1)
+    os.makedirs(f"{root}/in")
+    spark.conf.set("spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        for k, name in enumerate(("2020-01-01.gz", "2020-02-01.csv")):
+            text = f"id,host_id\n{k},10\n{k + 10},11\nbad,1\n"
+            with (gzip.open if name.endswith("gz") else open)(f"{root}/in/{name}", "wt") as f:
+                f.write(text)
+            run_available(spark, f"{root}/in", f"{root}/raw", f"{root}/ckpt")
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/raw").collect()) == [0, 1, 10, 11]
+    assert spark.read.parquet(f"{root}/raw.rejects").count() == 2
+    # a batch that is run again adds nothing
+    from staykit.streaming.incremental import append_batch
+
+    batch = spark.createDataFrame([(f"file:{root}/in/2020-01-01.gz",)], "path string")
+    append_batch(spark, batch, f"{root}/raw")
+    assert spark.read.parquet(f"{root}/raw").count() == 4

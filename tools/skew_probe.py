@@ -97,7 +97,6 @@ def main(sf_dir: str) -> dict:
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 * 1024 * 1024))
     sources = {
         "one big CSV, multiLine reader": lambda: read_snapshots(spark, one_file),
-        "one big CSV, splittable reader": lambda: read_snapshots(spark, one_file, split_bytes=0),
     }
     for name, build in sources.items():
         spark.sparkContext.setJobGroup(name, name)
