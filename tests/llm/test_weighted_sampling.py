@@ -1,0 +1,83 @@
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+
+from staykit.llm import weighted_sampling as ws
+
+from text_cases import ODD
+
+
+def bag(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    return Counter([tuple(w[i:i + 5]) for i in range(len(w) - 4)] or ([tuple(w)] if w else []))
+
+
+def jaccard(a, b):
+    keys = set(a) | set(b)
+    return sum(min(a[k], b[k]) for k in keys) / sum(max(a[k], b[k]) for k in keys)
+
+
+def test_quantiles_of_the_gamma_distribution():
+    n = 1 << 12
+    x = ws.gamma2_quantiles(n)
+    assert np.abs(1 - (1 + x) * np.exp(-x) - (np.arange(n) + 0.5) / n).max() < 1e-9
+
+
+def test_collision_rate_is_the_generalised_jaccard_similarity():
+    rng = np.random.default_rng(4)
+    pairs = []
+    for j in range(400):
+        side = lambda: " ".join(f"p{j}q{i} x y z u" for i in range(20) for _ in range(rng.integers(0, 6)))
+        pairs.append((side() + " end", side() + " end"))
+    a, aw = ws.fingerprints([p[0] for p in pairs])
+    b, bw = ws.fingerprints([p[1] for p in pairs])
+    got = ws.likeness(a, aw, b, bw)
+    want = np.array([jaccard(bag(x), bag(y)) for x, y in pairs])
+    assert abs((got - want).mean()) < 0.01
+    assert np.sqrt(((got - want) ** 2).mean()) < 0.08
+
+
+def test_texts_do_not_depend_on_their_neighbours():
+    texts = [r[1] or "" for r in ODD]
+    together, _ = ws.fingerprints(texts)
+    alone = np.concatenate([ws.fingerprints([t])[0] for t in texts])
+    assert (together == alone).all()
+
+
+def expected(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    texts = [t or "" for _, t in rows]
+    out = []
+    for k, (i, _) in enumerate(rows):
+        text, following = texts[k], texts[(k + 1) % len(rows)]
+        half = len(text) // 2
+        edited = text[:len(text) - half] + following[:half]
+        p, w = ws.fingerprints([text, edited, following])
+        like = lambda x, y: float(ws.likeness(p[x:x + 1], w[x:x + 1], p[y:y + 1], w[y:y + 1])[0])
+        prints = ws.as_hex(p, w)
+        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), prints[0], prints[1], like(0, 1), like(0, 2)))
+    return sorted(out, key=repr)
+
+
+def test_odd_documents(odd):
+    got = ws.compare_with_next(odd).collect()
+    assert sorted(map(tuple, got), key=repr) == expected([(r[0], r[1]) for r in ODD])
+
+
+def test_table_against_one_by_one(sample):
+    docs, rows = sample
+    got = ws.compare_with_next(docs.repartition(7)).collect()
+    assert sorted(map(tuple, got), key=repr) == expected([(r.doc_id, r.text) for r in rows])
+
+
+def test_one_document_and_none(spark, nothing):
+    one = spark.createDataFrame([(4, "a b c d")], "doc_id long, text string")
+    assert sorted(map(tuple, ws.compare_with_next(one).collect())) == expected([(4, "a b c d")])
+    assert ws.compare_with_next(nothing).collect() == []
+
+
+def test_fingerprints_alone(odd):
+    rows = {r.doc_id: r.fingerprint for r in ws.fingerprint_documents(odd).collect()}
+    assert rows[4] == rows[5] != "" and rows[1] == rows[2] == rows[3] == ""
