@@ -20,6 +20,7 @@ feeds as context.  Equal scores go to the language first in the alphabet.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_chunks, text_array, text_bytes
+from .common import byte_chunks, hash_cut, text_array, text_bytes
 
 UNDETERMINED = "und"
 _tables: dict[str, "CodeLengths"] = {}
@@ -44,8 +45,13 @@ def fit_sample(docs: DataFrame, eligible, fit_docs: int = 300, fit_chars: int =
     the id.  Ids are picked first (only narrow rows are ranked), then their texts are fetched."""
     rows = docs.select("doc_id", "lang", "text")
     good = eligible & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= fit_chars)
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id")
-    picked = (rows.filter(good).select("doc_id", "lang").withColumn("k", F.row_number().over(by_hash))
+    ids = rows.filter(good).select("doc_id", "lang", F.xxhash64(F.lit(seed), "doc_id").alias("h"))
+    counts = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    if not counts:
+        return {}
+    cuts = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], hash_cut(fit_docs, r["count"]))))
+    by_hash = Window.partitionBy("lang").orderBy("h", "doc_id")
+    picked = (ids.filter(F.col("h") <= cuts[F.col("lang")]).withColumn("k", F.row_number().over(by_hash))
               .filter(F.col("k") <= fit_docs).select("doc_id", "lang").limit(fit_docs * max_languages).collect())
     if not picked:
         return {}
@@ -160,7 +166,7 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     """Per document: the id, lang_pred and score.  One pass over the scan, no shuffle."""
     rows = docs.select(id_col, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the fitting sample
-    token = f"{id(model)}-{shared.id if hasattr(shared, 'id') else id(shared)}"
+    token = uuid.uuid4().hex  # tells this model's tables in a worker from those of another query
     schema = f"`{id_col}` {rows.schema[0].dataType.simpleString()}, lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
