@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_array
+from .common import hash_cut, text_array
 
 KINDS = ("email", "ip", "card", "phone")  # in the order of the result (fixed values)
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -390,7 +390,9 @@ def fit(docs: DataFrame, fit_docs: int = 600, fit_chars: int = 20_000, fit_windo
     anchor, by least hash of the text."""
     text = F.col(text_col).cast("string")
     rows = (docs.select(text.alias("t")).filter(F.col("t").isNotNull() & (F.length("t") <= fit_chars) & F.col("t").rlike("[0-9@]"))
-            .select(F.xxhash64(F.lit(seed), "t").alias("h"), "t").orderBy("h", "t").limit(fit_docs).collect())
+            .select(F.xxhash64(F.lit(seed), "t").alias("h"), "t"))
+    rows = rows.filter(F.col("h") <= hash_cut(fit_docs, rows.count()))
+    rows = rows.groupBy("h").agg(F.min("t").alias("t")).orderBy("h").limit(fit_docs).collect()
     texts = list(dict.fromkeys(r.t for r in rows))
     return train(training_windows(texts, fit_windows), **options)
 
