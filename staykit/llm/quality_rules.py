@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_cut
+
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
@@ -170,9 +172,10 @@ def learn_rules(rows: list[dict], features=FEATURES, precision: float = 0.95, le
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, fit_rows: int = 6_000, seed: int = 11) -> list[dict]:
     """Statistics of at most ``fit_rows`` labelled documents (by least hash of the id), for fitting only."""
-    picked = (labels.select(F.col("doc_id").cast("long").alias("id"), (F.col("quality") == 0).alias("bad"))
-              .filter("id is not null and bad is not null").groupBy("id").agg(F.max("bad").alias("bad"))
-              .orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(fit_rows))
+    labelled = labels.select(F.col("doc_id").cast("long").alias("id"), (F.col("quality") == 0).alias("bad"),
+                             F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")).alias("h")).filter("id is not null and bad is not null")
+    picked = (labelled.filter(F.col("h") <= hash_cut(fit_rows, labelled.count())).groupBy("h", "id")
+              .agg(F.max("bad").alias("bad")).orderBy("h", "id").limit(fit_rows))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     rows = rows.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).limit(fit_rows)
     aside = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(3)) == 0
@@ -217,5 +220,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, **sample) -> DataFrame:
     # columns are numbered meanwhile, so none can clash with a statistic
     numbered = docs.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)))
     text = f"_c{[c.lower() for c in names].index('text')}"
-    judged = judge(numbered, rules, keep=tuple(numbered.columns), text_col=text).filter("kept")
+    judged = judge(numbered, rules, keep=tuple(numbered.columns), text_col=text)
+    # A filter is pushed below the projections it reads from, its columns spelled out: every statistic would be
+    # computed anew inside the loops of the others.  No filter is pushed below a row number.
+    judged = judged.withColumn("_row", F.monotonically_increasing_id()).filter("kept and _row >= 0")
     return judged.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))
