@@ -90,8 +90,8 @@ class PieceModel:
             raise ValueError("two pieces have equal scores")
         self.automaton.make_automaton()
         self.compatible: dict[int, bool] = {}
-        self.words = ChunkIds(lambda words: self._encode_chunks([MARK + w for w in words]))
-        self.chunks = ChunkIds(self._encode_chunks, 100_000)
+        self.words = ChunkIds(lambda words: self._encode_chunks([MARK + w for w in words]), 300_000)
+        self.chunks = ChunkIds(self._encode_chunks, 50_000)
         self.characters = {p for p in self.ids if len(p) == 1}
         self.is_control = np.array([t == CONTROL for t in self.types])
         # flat bytes of every piece, for decoding
@@ -137,7 +137,7 @@ class PieceModel:
         key = left << 32 | right
         known = self.compatible.get(key)
         if known is None:
-            if len(self.compatible) > 1_000_000:
+            if len(self.compatible) > 400_000:
                 self.compatible.clear()
             if self.pieces[left].endswith(MARK):
                 known = self.merged(self.pieces[left] + self.pieces[right]) == [left, right]
