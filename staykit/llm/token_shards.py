@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import ChunkIds, filesystem, shuffle_width, text_array, write_once, written
+from .common import ChunkIds, byte_chunks, filesystem, shuffle_width, text_array, text_bytes, write_once, written
 
 MAGIC = b"RPTK"  # fixed value
 SAMPLE = 4096
@@ -337,8 +337,8 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
         for batch in batches:
             texts = text_array(batch.column(1))
             doc_ids = batch.column(0).fill_null(NULL_ID).to_pylist()
-            for i in range(0, len(texts), 256):
-                for doc_id, body in zip(doc_ids[i:i + 256], encoder.encode_batch(texts[i:i + 256].to_pylist())):
+            for i, j in byte_chunks(text_bytes(texts)[1], 4 << 20):
+                for doc_id, body in zip(doc_ids[i:j], encoder.encode_batch(texts[i:j].to_pylist())):
                     ids.append(doc_id)
                     bodies.append(body + end)
                     held += len(body) // 4 + 1
