@@ -9,22 +9,18 @@ batch's files with the same reader as the batch job and appends only the keys
 not yet in the raw table.
 
 Exactly-once: the stream checkpoint records processed files; a batch that is
-re-run after a failure appends nothing twice, because the append is keyed
-(``rows_to_add`` against the table as written).
+re-run after a failure appends nothing twice and leaves nothing out, because
+both appends are keyed against their table as written, and files are marked as
+loaded after both (``raw_jobs``, ``mark_loaded``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.keys import rows_to_add
-from ..operators.quality import split_rejects
-from ..plans.refresh import has_data, unseen_files
-from ..plans.star import load_raw
-from ..schemas import RAW_LISTING_KEY
-from ..sources.snapshots import canonical_path, checked_names, read_snapshots
+from ..plans.refresh import mark_loaded, raw_jobs, start_marker, unseen_files
+from ..sources.snapshots import canonical_path, checked_names
 
 # Schema of the binaryFile source (a stream must declare it).
 BINARY_FILE_SCHEMA = T.StructType([
@@ -38,22 +34,17 @@ BINARY_FILE_SCHEMA = T.StructType([
 def append_batch(spark: SparkSession, batch: DataFrame, raw_path: str) -> None:
     """foreachBatch body: load the batch's files and append what is not there yet.
 
-    Only ever appends: a batch that is run again finds its files in the table
-    (a write commits all rows of a batch or none) and has nothing left to add.
+    Only ever appends: a batch that is run again finds its files marked as loaded,
+    or, if it stopped before that, adds only what each table lacks.
     """
     files = checked_names(sorted({canonical_path(r.path) for r in batch.select("path").distinct().collect()}))
+    start_marker(spark, raw_path)
     files = unseen_files(spark, files, raw_path)
     if not files:
         return
-    rows, rejects = split_rejects(read_snapshots(spark, None, files=files))
-    if has_data(spark, raw_path):
-        existing = spark.read.parquet(raw_path)
-        # a key contains its file name, so only rows of these files can clash
-        clash = existing.filter(F.col("filename").isin(files))
-        rows_to_add(rows, clash, RAW_LISTING_KEY).select(*existing.columns).write.mode("append").parquet(raw_path)
-    else:
-        load_raw(rows).write.mode("append").parquet(raw_path)
-    rejects.write.mode("append").parquet(f"{raw_path}.rejects")
+    for job in raw_jobs(spark, files, raw_path).values():
+        job()
+    mark_loaded(spark, files, raw_path)
 
 
 def start(spark: SparkSession, in_dir: str, raw_path: str, checkpoint: str, max_files: int = 1000):

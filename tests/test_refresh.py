@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from staykit.plans import refresh
@@ -175,6 +176,42 @@ def test_a_failed_first_write_does_not_block_appends(spark, scratch):
     assert rows_in(spark, out, "fact", "id") == [(1,)]
 
 
+@pytest.mark.parametrize("committed", ["raw_rejects", "raw_listings"])
+def test_an_append_that_wrote_one_of_raw_and_rejects_is_made_good(spark, scratch, monkeypatch, committed):
+    inputs, root = small_inputs(scratch)
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3", "x1,10,A,x,t,Bondi,$5,t,3")
+    refresh.run(spark, inputs, f"{root}/out", mode="append", until="raw")
+    month_file(inputs, "2020-02-01.csv", "2,11,B,x,f,Bondi,$6.00,t,3", "x2,10,A,x,t,Bondi,$5,t,3", "x3,10,A,x,t,Bondi,$5,t,3")
+    parallel = refresh._parallel
+
+    def stops(spark, jobs, workers=4):
+        parallel(spark, {committed: jobs[committed]}, workers)
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "_parallel", stops)
+        with pytest.raises(OSError):
+            refresh.run(spark, inputs, f"{root}/out", mode="append")
+    for _ in range(2):
+        out = refresh.run(spark, inputs, f"{root}/out", mode="append", until="raw")
+        assert rows_in(spark, out, "raw_listings", "id") == [(1,), (2,)]
+        assert [(r[0].rpartition("/")[2], *r[1:]) for r in rows_in(spark, out, "raw_rejects", "filename", "reason", "n_rows")] == [
+            ("2020-01-01.csv", "id", 1), ("2020-02-01.csv", "id", 2)]
+
+
+def test_raw_rows_from_before_there_was_a_marker_count_as_loaded(spark, scratch, monkeypatch):
+    inputs, root = small_inputs(scratch)
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3")
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "start_marker", lambda *a: None)
+        m.setattr(refresh, "mark_loaded", lambda *a: None)
+        out = refresh.run(spark, inputs, f"{root}/out", mode="append", until="raw")
+    assert not os.path.exists(out["loaded"])
+    month_file(inputs, "2020-02-01.csv", "2,11,B,x,f,Bondi,$6.00,t,3")
+    out = refresh.run(spark, inputs, f"{root}/out", mode="append")
+    assert rows_in(spark, out, "raw_listings", "id") == rows_in(spark, out, "fact", "id") == [(1,), (2,)]
+
+
 def test_rows_that_cannot_be_keyed_are_counted(spark, scratch):
     inputs, root = small_inputs(scratch)
     month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3", "x1,10,A,x,t,Bondi,$5,t,3", "x2,10,A,x,t,Bondi,$5,t,3", "4,?,A,x,t,Bondi,$5,t,3")

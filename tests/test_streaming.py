@@ -47,3 +47,34 @@ def test_stream_reads_what_the_batch_reads_and_never_overwrites(spark, scratch):
     batch = spark.createDataFrame([(f"file:{root}/in/2020-01-01.gz",)], "path string")
     append_batch(spark, batch, f"{root}/raw")
     assert spark.read.parquet(f"{root}/raw").count() == 4
+
+
+def test_a_batch_that_stopped_before_its_rejects_is_made_good(spark, scratch, monkeypatch):
+    import os
+
+    import pytest
+    from staykit.streaming import incremental
+
+    root = scratch("stopped").replace("file:", "", 1)
+    os.makedirs(f"{root}/in")
+    for k in (1, 2):
+        with open(f"{root}/in/2020-0{k}-01.csv", "w") as f:
+            f.write(f"id,host_id\n{k},10\nbad,1\n")
+    batch = spark.createDataFrame([(f"file:{root}/in/2020-0{k}-01.csv",) for k in (1, 2)], "path string")
+    jobs = incremental.raw_jobs
+
+    def stops(*args):
+        def lost():
+            raise OSError("lost")
+
+        return dict(jobs(*args), raw_rejects=lost)
+
+    incremental.append_batch(spark, batch.limit(1), f"{root}/raw")
+    monkeypatch.setattr(incremental, "raw_jobs", stops)
+    with pytest.raises(OSError):
+        incremental.append_batch(spark, batch, f"{root}/raw")
+    monkeypatch.setattr(incremental, "raw_jobs", jobs)
+    for _ in range(2):
+        incremental.append_batch(spark, batch, f"{root}/raw")
+        assert sorted(r.id for r in spark.read.parquet(f"{root}/raw").collect()) == [1, 2]
+        assert spark.read.parquet(f"{root}/raw.rejects").agg({"n_rows": "sum"}).first()[0] == 2
