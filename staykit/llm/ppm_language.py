@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from .common import byte_chunks, hash_cut, text_array, text_bytes
 
 UNDETERMINED = "und"
-_tables: dict[str, "CodeLengths"] = {}
+TABLE_LANGUAGES = 8
+_tables: dict[str, list["CodeLengths"]] = {}
 
 
 def held_out(id_col="doc_id"):
@@ -39,24 +40,35 @@ def held_out(id_col="doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_sample(docs: DataFrame, eligible, fit_docs: int = 300, fit_chars: int = 50_000, max_languages: int = 64,
+def fit_sample(docs: DataFrame, eligible, fit_docs: int = 300, fit_chars: int = 50_000, most_docs: int = 19_200,
                seed: int = 7) -> dict[str, list[bytes]]:
-    """At most ``fit_docs`` texts of up to ``fit_chars`` characters for each language, by least hash of
-    the id.  Ids are picked first (only narrow rows are ranked), then their texts are fetched."""
+    """Texts of every language that ``lang`` names, by least hash of the id.
+
+    Each language has at most ``fit_docs`` of them, or its share of ``most_docs`` (but
+    one at least) once there are more than most_docs / fit_docs languages.  Texts of over
+    ``fit_chars`` characters are taken only where a language has no other, and then their
+    first ``fit_chars``.  Ids are picked first (only narrow rows are ranked), then their
+    texts are fetched.
+    """
     rows = docs.select("doc_id", "lang", "text")
-    good = eligible & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= fit_chars)
-    ids = rows.filter(good).select("doc_id", "lang", F.xxhash64(F.lit(seed), "doc_id").alias("h"))
-    counts = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    good = eligible & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull()
+    ids = rows.filter(good).select("doc_id", "lang", (F.length("text") > fit_chars).alias("long"),
+                                   F.xxhash64(F.lit(seed), "doc_id").alias("h"))
+    counts = ids.groupBy("lang").agg(F.count_if(~F.col("long")).alias("short"), F.count_if("long").alias("long")).collect()
     if not counts:
         return {}
-    cuts = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], hash_cut(fit_docs, r["count"]))))
+    each = max(1, min(fit_docs, most_docs // len(counts)))
+    cuts = docs.sparkSession.createDataFrame([(r["lang"], r["short"] == 0, hash_cut(each, r["short"] or r["long"])) for r in counts],
+                                             "lang string, long boolean, cut long")
     by_hash = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = (ids.filter(F.col("h") <= cuts[F.col("lang")]).withColumn("k", F.row_number().over(by_hash))
-              .filter(F.col("k") <= fit_docs).select("doc_id", "lang").limit(fit_docs * max_languages).collect())
+    picked = (ids.join(F.broadcast(cuts), ["lang", "long"]).filter("h <= cut").withColumn("k", F.row_number().over(by_hash))
+              .filter(F.col("k") <= each).select("doc_id", "lang", "long").limit(each * len(counts)).collect())
     if not picked:
         return {}
-    ids = docs.sparkSession.createDataFrame([(r.doc_id,) for r in picked], "doc_id long").distinct()
-    texts = rows.filter(good).join(F.broadcast(ids), "doc_id", "left_semi").limit(len(picked)).collect()
+    ids = docs.sparkSession.createDataFrame([tuple(r) for r in picked], "doc_id long, lang string, long boolean").distinct()
+    texts = (rows.filter(good).withColumn("long", F.length("text") > fit_chars)
+             .join(F.broadcast(ids), ["doc_id", "lang", "long"], "left_semi")
+             .select("doc_id", "lang", F.substring("text", 1, fit_chars).alias("text")).limit(len(picked)).collect())
     out: dict[str, list[bytes]] = {}
     for r in sorted(texts, key=lambda r: (r.lang, r.doc_id, r.text)):
         out.setdefault(r.lang, []).append(r.text.encode())
@@ -79,7 +91,7 @@ def count_contexts(texts: list[bytes], order: int) -> list[tuple[np.ndarray, np.
 
 
 class CodeLengths:
-    """Tables of the bits of a byte class after a context, for all languages at once."""
+    """Tables of the bits of a byte class after a context, for several languages at once."""
 
     def __init__(self, counts: dict[str, list], order: int, least_seen: int = 2):
         self.languages, self.order = sorted(counts), order
@@ -162,6 +174,14 @@ def fit(samples: dict[str, list[bytes]], order: int = 3) -> dict:
     return {"order": order, "counts": {lang: count_contexts(texts, order) for lang, texts in samples.items()}}
 
 
+def code_lengths(model: dict) -> list[CodeLengths]:
+    """Tables of a few languages each, in order: their size grows with the contexts times the
+    languages of a table, and the bits under a language do not depend on the others."""
+    langs = sorted(model["counts"])
+    return [CodeLengths({x: model["counts"][x] for x in langs[i:i + TABLE_LANGUAGES]}, model["order"])
+            for i in range(0, len(langs), TABLE_LANGUAGES)]
+
+
 def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: the id, lang_pred and score.  One pass over the scan, no shuffle."""
     rows = docs.select(id_col, text_col)
@@ -173,8 +193,9 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
         frozen = shared.value
         if frozen["counts"] and token not in _tables:
             _tables.clear()
-            _tables[token] = CodeLengths(frozen["counts"], frozen["order"])
+            _tables[token] = code_lengths(frozen)
         tables = _tables.get(token)
+        languages = sorted(frozen["counts"])
         for batch in batches:
             texts = text_array(batch.column(1))
             data, offsets = text_bytes(texts)
@@ -184,12 +205,13 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 if tables is None:
                     letters = [False] * (j - i)
                 else:
-                    cost = tables.score(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                    part, at = data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
+                    cost = np.hstack([t.score(part, at) for t in tables])
                     best = cost.argmin(axis=1)
                     gap = cost - cost[np.arange(j - i), best][:, None]
                     share = 1 / np.exp2(-np.minimum(gap, 1000)).sum(axis=1)
                 for k, ok in enumerate(letters):
-                    names.append(tables.languages[best[k]] if ok else UNDETERMINED)
+                    names.append(languages[best[k]] if ok else UNDETERMINED)
                     scores.append(float(share[k]) if ok else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              [id_col, "lang_pred", "score"])

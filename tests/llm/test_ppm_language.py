@@ -78,5 +78,21 @@ def test_sample_is_bounded(spark):
     assert {k: len(v) for k, v in got.items()} == {"a": 20, "b": 20}
 
 
+def test_every_language_is_learned(spark):
+    """Over 64 languages, the rarest in one document, and one whose documents are all long."""
+    letters = {f"l{i:02}": [chr(0x4E00 + 8 * i + k) for k in range(8)] for i in range(70)}
+    rows = [(lang, "".join(x[(k * k + n) % 8] + x[k % 8] for k in range(40))) for lang, x in letters.items()
+            for n in range(1 if lang in ("l03", "l68") else 2)]
+    rows += [("long", "wxyz " * 500)] * 2
+    docs = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, lang string, text string")
+    got = ppm.fit_sample(docs, F.lit(True), fit_chars=1000)
+    assert set(got) == {*letters, "long"}
+    assert max(len(x) for x in got["long"]) == 1000
+    found = ppm.predict(docs, ppm.fit(got)).join(docs, "doc_id").collect()
+    assert all(r.lang_pred == r.lang for r in found) and len(found) == len(rows)
+    # the documents a language gives shrink as languages grow
+    assert {len(v) for v in ppm.fit_sample(docs, F.lit(True), fit_chars=1000, most_docs=71).values()} == {1}
+
+
 def test_empty_table(nothing):
     assert ppm.identify(nothing).collect() == []
