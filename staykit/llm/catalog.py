@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, ngram_join, pii, piece_bpe, ppm_language, quality_rules, token_shards, warc, weighted_sampling
+from . import chat, importance, mixing, ngram_join, pii, piece_bpe, ppm_language, quality_rules, token_shards, warc, weighted_sampling
 from .common import table
 
 
@@ -53,8 +53,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 REGISTRY = {f.__name__: f for f in (op1_warc, op2_pii, op3_fingerprints, op4_quality_rules, op5_token_shards, op6_ngram_join,
-                                    op7_mixing, op8_chat, op9_piece_bpe, op10_language)}
+                                    op7_mixing, op8_chat, op9_piece_bpe, op10_language, op12_importance)}
 
 # Payloads are told apart by their SHA-1, which is then spelled in base 32.
 OP1_SQL = """
@@ -117,4 +121,32 @@ SELECT conv_id, count(*) AS n_turns,
 FROM f GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op8_chat": OP8_SQL}
+# A byte's crc32 step is a table entry made by eight shifts; words are told apart before their crc32 is taken.
+OP12_SQL = r"""
+WITH s AS (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY b) AS t
+           FROM range(256) r(b)),
+w AS (SELECT doc_id, false AS target, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+      UNION ALL SELECT item_id, true, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+f AS (SELECT doc_id, target, unnest(w) AS w FROM w),
+x AS (SELECT w, hex(encode(w)) AS hex FROM (SELECT DISTINCT w FROM f)),
+y AS (SELECT w, list_transform(range(length(hex) // 2), lambda i: CAST('0x' || substr(hex, 2 * i + 1, 2) AS BIGINT)) AS b FROM x),
+z AS (SELECT w, xor(list_reduce(list_prepend(4294967295, b), lambda c, k: xor(t[1 + xor(c, k) % 256], c >> 8)), 4294967295) % 10000 AS bucket FROM y, s),
+n AS (SELECT r.bucket, count(*) FILTER (NOT target) AS s, count(*) FILTER (target) AS t
+      FROM (SELECT bucket, target FROM f JOIN z USING (w) UNION ALL SELECT i, NULL FROM range(10000) q(i)) r GROUP BY r.bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE
+                                          / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM n),
+d AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+      FROM f JOIN z USING (w) JOIN g USING (bucket) WHERE NOT target GROUP BY doc_id),
+e AS (SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                                                             / 4294967296::DOUBLE))) AS BIGINT) AS score
+      FROM documents LEFT JOIN d USING (doc_id)),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS k,
+             count(*) FILTER (n_features >= 20) OVER () AS n FROM e)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND k <= 10 * n // 100 THEN k END AS rank FROM o
+"""
+
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op6_ngram_join": OP6_SQL, "op7_mixing": OP7_SQL, "op8_chat": OP8_SQL,
+                          "op12_importance": OP12_SQL}
