@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, importance, mixing, ngram_join, pii, piece_bpe, ppm_language, quality_rules, token_shards, warc, weighted_sampling
+from . import backoff_automaton, chat, importance, mixing, ngram_join, pii, piece_bpe, ppm_language, quality_rules, token_shards, warc, weighted_sampling
 from .common import table
 
 
@@ -57,8 +57,12 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff_automaton.score_documents(table(spark, sf_dir, "documents"))
+
+
 REGISTRY = {f.__name__: f for f in (op1_warc, op2_pii, op3_fingerprints, op4_quality_rules, op5_token_shards, op6_ngram_join,
-                                    op7_mixing, op8_chat, op9_piece_bpe, op10_language, op12_importance)}
+                                    op7_mixing, op8_chat, op9_piece_bpe, op10_language, op12_importance, op13_lm_scoring)}
 
 # Payloads are told apart by their SHA-1, which is then spelled in base 32.
 OP1_SQL = """
