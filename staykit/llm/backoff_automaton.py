@@ -7,7 +7,9 @@ The model is an n-gram model of words with hierarchical Dirichlet smoothing:
 
 where u' is the context u without its first word, c counts n-grams in the training
 documents, N and V are the tokens and distinct tokens in them, and all words that
-training lacks share one more place in P(w).  Words are runs of characters other
+training lacks share one more place in P(w).  The weight m is the value of a grid under
+which the training tokens are likeliest when each is left out of the counts in turn;
+these sums, too, are taken over all blocks.  Words are runs of characters other
 than ASCII white space, A-Z lower-cased; every document has one end token after
 its words, and its first words have begin marks as their context.
 
@@ -49,9 +51,10 @@ from .common import IS_SPACE, byte_chunks, mix64, shuffle_width, text_array, tex
 # hashes of the marks; words get theirs from their bytes
 BEGIN, END = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFA1D2C45)
 PIECE_BYTES = 1 << 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 RANGE_BYTES = 8 << 20  # text a range of hashes is laid out for
 LANE = 2048            # tokens that one lane of a traversal reads
+PRIORS = tuple(4.0 ** k for k in range(-1, 9))
 
 
 def held_out(id_col: str = "doc_id", fold: int = 1):
@@ -343,14 +346,46 @@ class Automaton:
         return np.bincount(piece, total, t.n_pieces)
 
 
+def left_out(tokens: Tokens, counts: list[np.ndarray], n_tokens: int, n_distinct: int, priors) -> np.ndarray:
+    """For each prior, the log10 probability of the block's training tokens, each left out of the counts."""
+    at = np.full(len(counts[-1]), -1, np.int64)
+    scored_at = np.flatnonzero(tokens.scored)
+    at[tokens.index[-1][scored_at]] = scored_at
+    used = np.flatnonzero((at >= 0) & (tokens.own[-1] > 0))
+    at, times = at[used], tokens.own[-1][used]
+    by_order = [counts[k][tokens.index[k][at]] - 1 for k in range(tokens.order)]
+    contexts = [counts[k][tokens.index[k][at - 1]] - 1 for k in range(tokens.order - 1)]
+    out = np.zeros(len(priors))
+    for i, m in enumerate(priors):
+        p = (by_order[0] + 0.5) / (n_tokens - 1 + 0.5 * (n_distinct + 1))
+        for c, context in zip(by_order[1:], contexts):
+            p = (c + m * p) / (context + m)
+        out[i] = np.log10(p) @ times
+    return out
+
+
 # --- Spark -----------------------------------------------------------------
 
-def score_documents(docs: DataFrame, order: int = 2, prior: float = 4.0, fold: int = 1, id_col: str = "doc_id",
+def _with_counts(blocks: DataFrame, answers: DataFrame, folder: str, order: int, work, schema: str) -> DataFrame:
+    """``work(the block's rows, its tokens, their training counts of each order)`` for every block."""
+    def run(block: pa.Table, answer: pa.Table) -> pa.Table:
+        table = load_block(folder, block["file"][0].as_py())
+        parts: list[list] = [[] for _ in range(order)]
+        for n, _, raw in sorted(zip(answer["n"].to_pylist(), answer["range"].to_pylist(), answer["counts"].to_pylist())):
+            parts[n - 1].append(unpack(raw).astype(np.int64))
+        return work(table, Tokens(table, order), [np.concatenate(p or [np.zeros(0, np.int64)]) for p in parts])
+
+    per_block = answers.filter("block is not null").select("block", "n", "range", "counts").groupBy("block")
+    return blocks.groupBy("block").cogroup(per_block).applyInArrow(run, schema)
+
+
+def score_documents(docs: DataFrame, order: int = 2, prior: float | None = None, fold: int = 1, id_col: str = "doc_id",
                     text_col: str = "text", block_bytes: int = BLOCK_BYTES, piece_bytes: int = PIECE_BYTES,
                     range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Per document: the id, held_out, n_tokens, n_known, train_tokens, base_score and score.
 
-    ``order`` is the longest n-gram, ``prior`` the weight m of the shorter context.
+    ``order`` is the longest n-gram, ``prior`` the weight m of the shorter context
+    (chosen from ``PRIORS`` by leaving one out if not given).
     """
     spark = docs.sparkSession
     folder = scratch_path(spark, "language-model")
@@ -367,13 +402,16 @@ def score_documents(docs: DataFrame, order: int = 2, prior: float = 4.0, fold: i
     n_distinct = (known.seen or 0) - (1 if begins else 0)
     n_tokens = (known.total or 0) - begins
 
-    def run(block: pa.Table, answer: pa.Table) -> pa.Table:
-        table = load_block(folder, block["file"][0].as_py())
-        tokens = Tokens(table, order)
-        parts: list[list] = [[] for _ in range(order)]
-        for n, _, raw in sorted(zip(answer["n"].to_pylist(), answer["range"].to_pylist(), answer["counts"].to_pylist())):
-            parts[n - 1].append(unpack(raw).astype(np.int64))
-        counts = [np.concatenate(p or [np.zeros(0, np.int64)]) for p in parts]
+    if prior is None:
+        def fit(table: pa.Table, tokens: Tokens, counts: list[np.ndarray]) -> pa.Table:
+            return pa.table({"prior": PRIORS, "fit": left_out(tokens, counts, n_tokens, n_distinct, PRIORS)})
+
+        prior = PRIORS[0]
+        if order > 1:
+            fits = _with_counts(blocks, answers, folder, order, fit, "prior double, fit double").groupBy("prior").agg(F.sum("fit").alias("fit"))
+            prior = max(((r.fit, -r.prior) for r in fits.collect()), default=(0, -prior))[1] * -1  # one row a prior
+
+    def score(table: pa.Table, tokens: Tokens, counts: list[np.ndarray]) -> pa.Table:
         model = Automaton(tokens, counts, n_tokens, n_distinct, prior)
         where = np.flatnonzero(tokens.scored)
         piece, token = tokens.piece[where], tokens.index[0][where]
@@ -384,8 +422,8 @@ def score_documents(docs: DataFrame, order: int = 2, prior: float = 4.0, fold: i
                          "base_score": pa.array(per_piece(model.base[token]), pa.float64()),
                          "score": pa.array(model.scores(), pa.float64())})
 
-    scored = (blocks.groupBy("block").cogroup(answers.filter("block is not null").select("block", "n", "range", "counts").groupBy("block"))
-              .applyInArrow(run, "place long, id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
+    scored = _with_counts(blocks, answers, folder, order, score,
+                          "place long, id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     sums = scored.groupBy("place", "id", "held_out").agg(*[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     return sums.select(F.col("id").alias(id_col), "held_out", "n_tokens", "n_known",
                        F.lit(n_tokens).cast("long").alias("train_tokens"), "base_score", "score")
