@@ -409,7 +409,8 @@ def score_documents(docs: DataFrame, order: int = 2, prior: float | None = None,
         prior = PRIORS[0]
         if order > 1:
             fits = _with_counts(blocks, answers, folder, order, fit, "prior double, fit double").groupBy("prior").agg(F.sum("fit").alias("fit"))
-            prior = max(((r.fit, -r.prior) for r in fits.collect()), default=(0, -prior))[1] * -1  # one row a prior
+            best = max(fits.collect(), key=lambda r: (r.fit, -r.prior), default=None)  # one row a prior
+            prior = best.prior if best else prior
 
     def score(table: pa.Table, tokens: Tokens, counts: list[np.ndarray]) -> pa.Table:
         model = Automaton(tokens, counts, n_tokens, n_distinct, prior)

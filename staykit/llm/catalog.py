@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import backoff_automaton, chat, importance, mixing, ngram_join, pii, piece_bpe, ppm_language, quality_rules, token_shards, warc, weighted_sampling
+from . import backoff_automaton, chat, importance, mixing, ngram_join, pii, piece_bpe, ppm_language, quality_rules, token_alignment, token_shards, warc, weighted_sampling
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,7 +66,7 @@ def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {f.__name__: f for f in (op1_warc, op2_pii, op3_fingerprints, op4_quality_rules, op5_token_shards, op6_ngram_join,
-                                    op7_mixing, op8_chat, op9_piece_bpe, op10_language, op12_importance, op13_lm_scoring)}
+                                    op7_mixing, op8_chat, op9_piece_bpe, op10_language, op11_token_alignment, op12_importance, op13_lm_scoring)}
 
 # Payloads are told apart by their SHA-1, which is then spelled in base 32.
 OP1_SQL = """
