@@ -37,6 +37,26 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return out.select(*[F.col(c) if c in keys else F.col(_FIRST)[c].alias(c) for c in df.columns])
 
 
+def first_per_key_split(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """``first_per_key`` of a written table whose keys are nearly all unique.
+
+    The aggregate of ``first_per_key`` sorts whole rows, which is waste where few
+    keys have more than one.  Here the keys alone are counted (a hash aggregate on
+    narrow rows); rows of unique keys pass through an anti join with the keys held
+    more than once, and only rows of the latter are reduced.  Spark broadcasts
+    those keys when they are measured as small, so wide rows are not shuffled
+    either; a key that holds a third of the rows is combined map-side as before.
+    The frame is read three times (the first time its keys only), so it should be a
+    table, not a long computation.  NULL keys are equal to each other, as in grouping.
+    """
+    keys = list(keys)
+    names = [f"__{k}" for k in keys]
+    several = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+               .select(*[F.col(k).alias(n) for k, n in zip(keys, names)]))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return df.join(several, same, "left_anti").unionByName(first_per_key(df.join(several, same, "left_semi"), keys, order))
+
+
 def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str],
                      order: Sequence[str] = ()) -> DataFrame:
     """Existing rows plus the first new row of every key not yet present."""
@@ -46,9 +66,11 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str],
 
 
 def rows_to_add(new: DataFrame, existing: DataFrame, keys: Sequence[str],
-                order: Sequence[str] = ()) -> DataFrame:
-    """Only the rows ``insert_if_absent`` would append (for append writes)."""
-    fresh = first_per_key(new, keys, order)
+                order: Sequence[str] = (), split: bool = False) -> DataFrame:
+    """Only the rows ``insert_if_absent`` would append (for append writes).
+
+    ``split`` says that ``new`` is a written table with few repeated keys."""
+    fresh = (first_per_key_split if split else first_per_key)(new, keys, order)
     return fresh.join(existing.select(*keys), on=list(keys), how="left_anti")
 
 

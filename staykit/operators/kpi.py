@@ -87,9 +87,29 @@ def month_filter(months) -> Column:
     return reduce(lambda a, b: a | b, [(F.col("year") == y) & (F.col("month") == m) for y, m in months])
 
 
+def month_counts(fact: DataFrame, keys: Sequence[str], string_keys: Sequence[str] = (), months=None) -> DataFrame:
+    """Active (``na``) and inactive (``ni``) listings per keys and month, groups with a NULL key left out.
+
+    This is all that month-on-month change needs, and a state that an append keeps up:
+    see :func:`merge_month_counts`.  ``months`` restricts it (and the scan) to those months.
+    """
+    if months is not None:
+        fact = fact.filter(month_filter(months))
+    g = [*keys, *TIME_KEYS]
+    key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in g])
+    return _prepare(fact, keys, string_keys).groupBy(*g).agg(
+        F.count(F.when(is_true_flag("has_availability"), F.col("id"))).alias("na"),
+        F.count(F.when(is_false_flag("has_availability"), F.col("id"))).alias("ni")).filter(key_ok)
+
+
+def merge_month_counts(state: DataFrame, batch: DataFrame, months) -> DataFrame:
+    """The state with the given months counted anew (``batch``); months may come in any order, or again."""
+    return state.filter(~month_filter(months)).unionByName(batch)
+
+
 def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
                string_keys: Sequence[str] = (), median: str = "exact",
-               approx_accuracy: int = 10_000, months=None) -> DataFrame:
+               approx_accuracy: int = 10_000, months=None, counts: DataFrame | None = None) -> DataFrame:
     """The 13-measure KPI block by ``keys`` × (year, month).
 
     ``string_keys`` are text keys whose missing value is the text ``NaN``
@@ -97,8 +117,10 @@ def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
     ``median="approx"`` opts into ``percentile_approx`` (bounded sketch,
     not equal to the exact interpolated median); the default is exact.
     ``months`` restricts the output to those (year, month) pairs: the
-    measures read only those months, and the month-on-month change comes
-    from a counts-only aggregate over all months (the lag may reach back).
+    measures read only those months, and the month-on-month change, whose lag
+    may reach back to any month, comes from ``counts`` (the month counts of all
+    months, as an append keeps them) or, without it, from a counts-only aggregate
+    over the whole fact.
     """
     keys = list(keys)
     g = keys + list(TIME_KEYS)
@@ -108,8 +130,7 @@ def group_kpis(fact: DataFrame, owners: DataFrame, keys: Sequence[str],
     key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in g])
     changes = None
     if months is not None:
-        counts = f.groupBy(*g).agg(F.count(F.when(active, F.col("id"))).alias("na"),
-                                   F.count(F.when(inactive, F.col("id"))).alias("ni")).filter(key_ok)
+        counts = month_counts(fact, keys, string_keys) if counts is None else counts
         counts = mom_change(counts, keys, "na", "change_for_active_listings")
         counts = mom_change(counts, keys, "ni", "change_for_inactive_listings")
         changes = counts.filter(month_filter(months)).select(

@@ -24,6 +24,25 @@ def moved_ids(raw: DataFrame, id_col: str = "id", place_col: str = "neighbourhoo
             .filter(F.col("_places") > 1).select(id_col))
 
 
+def place_bounds(raw: DataFrame, id_col: str = "id", place_col: str = "neighbourhood_cleansed") -> DataFrame:
+    """Per id the least and the greatest place seen: a state of which two can be merged.
+
+    An id has moved if the two differ, whatever lies between them, so this says what
+    :func:`moved_ids` says without a distinct count (a missing place is ``NaN``, too).
+    """
+    return (raw.select(id_col, text_or_missing(place_col).alias("_place"))
+            .groupBy(id_col).agg(F.min("_place").alias("least"), F.max("_place").alias("greatest")))
+
+
+def merge_place_bounds(state: DataFrame, batch: DataFrame, id_col: str = "id") -> DataFrame:
+    """Bounds over the rows of both.  Any order of batches, and a batch merged twice, give the same."""
+    return state.unionByName(batch).groupBy(id_col).agg(F.min("least").alias("least"), F.max("greatest").alias("greatest"))
+
+
+def moved_by_bounds(state: DataFrame, id_col: str = "id") -> DataFrame:
+    return state.filter("least <> greatest").select(id_col)
+
+
 def exclude_moved(raw: DataFrame, moved: DataFrame | None = None, id_col: str = "id",
                   place_col: str = "neighbourhood_cleansed") -> DataFrame:
     """Rows of listings that never changed place.

@@ -3,7 +3,7 @@
 Each query reads the driver tables (through the fixture mapping in
 :mod:`staykit.sources.fixture`) in full, runs one operator or job of the
 refresh, and aliases every output column to the name its DuckDB oracle in
-:mod:`staykit.oracle` uses.  Queries that exercise file formats first
+``duck_oracle.py`` uses.  Queries that exercise file formats first
 write the derived data to a fresh folder under the shared checkpoint root.
 """
 
@@ -26,11 +26,13 @@ from ..schemas import (G01_SCHEMA, G02_SCHEMA, LOCATION_KEY, LOCATION_SCHEMA, RA
 from ..session import scratch_path
 from ..sources import fixture as fx
 from ..sources.export import export_snapshots, export_table_csv, lineage_columns
-from ..sources.snapshots import read_lookup_csv, read_snapshots, typed_projection
+from ..sources.snapshots import file_infos, read_lookup_csv, read_snapshots, typed_projection
 from . import refresh
 from .layers import materialized, written_once
+from .ledger import stage
 from .star import age_band_totals, build_census, build_fact, build_owners, fill_missing_region, \
     host_listing_count, load_raw, owner_rows
+from .tables import read_table, replace_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -157,7 +159,11 @@ def csv_census_g02_scan(spark, d):
 
 @query
 def load_snapshots(spark, d):
-    return lineage_columns(load_raw(_csv_rows(spark, d)))
+    """The load itself: files parsed once into a staged table, then one row a key."""
+    files = file_infos(spark, _snapshot_files(spark, d))
+    raw_path = scratch_path(spark, "raw-load")
+    load = stage(spark, files, raw_path)
+    return lineage_columns(load_raw(load.rows(spark)))
 
 
 @query
@@ -172,9 +178,9 @@ def load_census(spark, d):
     p1 = written_once(spark, d, "g01-csv", lambda p: export_table_csv(g01, p))
     p2 = written_once(spark, d, "g02-csv", lambda p: export_table_csv(g02, p))
     raw_dir = scratch_path(spark, "raw-census")
-    refresh.replace_table(read_lookup_csv(spark, p1, G01_SCHEMA), f"{raw_dir}/g01")
-    refresh.replace_table(read_lookup_csv(spark, p2, G02_SCHEMA), f"{raw_dir}/g02")
-    return build_census(spark.read.parquet(f"{raw_dir}/g01"), spark.read.parquet(f"{raw_dir}/g02"))
+    replace_table(read_lookup_csv(spark, p1, G01_SCHEMA), f"{raw_dir}/g01")
+    replace_table(read_lookup_csv(spark, p2, G02_SCHEMA), f"{raw_dir}/g02")
+    return build_census(read_table(spark, f"{raw_dir}/g01"), read_table(spark, f"{raw_dir}/g02"))
 
 
 # --------------------------------------------------------------------------- sinks / keys
@@ -207,9 +213,9 @@ def overwrite_roundtrip(spark, d):
     g01, g02 = _census_parts(spark, d)
     census = build_census(g01, g02)
     path = scratch_path(spark, "census")
-    refresh.replace_table(census, path)
-    refresh.replace_table(spark.read.parquet(path), path)
-    return spark.read.parquet(path)
+    replace_table(census, path)
+    replace_table(read_table(spark, path), path)
+    return read_table(spark, path)
 
 
 @query
@@ -494,12 +500,12 @@ def _refreshed(spark, d) -> str:
 
 @query
 def pipeline_segment_kpi(spark, d):
-    return spark.read.parquet(f"{_refreshed(spark, d)}/kpi/segment_month")
+    return read_table(spark, f"{_refreshed(spark, d)}/kpi/segment_month")
 
 
 @query
 def pipeline_host_kpi(spark, d):
-    return spark.read.parquet(f"{_refreshed(spark, d)}/kpi/host_region_month")
+    return read_table(spark, f"{_refreshed(spark, d)}/kpi/host_region_month")
 
 
 @query

@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import host_city, price_mixed_format, snapshot_date, snapshot_month, snapshot_year
-from ..operators.keys import first_per_key
+from ..operators.keys import first_per_key, first_per_key_split
 from ..operators.listings import exclude_moved, lookup_region, moved_ids
 from ..schemas import (CENSUS_AGE_55_PLUS, CENSUS_AGE_UNDER_55, CENSUS_COLUMNS, CENSUS_KEY,
                        DEFAULT_HOST_REGION, FACT_COLUMNS, FACT_KEY, OWNER_COLUMNS)
 
 
 def load_raw(snapshots: DataFrame) -> DataFrame:
-    """Raw landing table: one row per (id, filename), first in column order."""
-    return first_per_key(snapshots, ["id", "filename"])
+    """Raw landing table: one row per (id, filename), first in column order.
+
+    ``snapshots`` should be a written (staged) table: its keys are counted first,
+    and only keys met more than once are reduced."""
+    return first_per_key_split(snapshots, ["id", "filename"])
 
 
 def build_fact(raw: DataFrame, location: DataFrame, moved: DataFrame | None = None) -> DataFrame:

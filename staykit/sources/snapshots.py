@@ -26,7 +26,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Iterable, NamedTuple, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,16 +52,30 @@ def lineage():
     return F.regexp_replace(decoded, r"^file:/+", "file:/")
 
 
+class FileInfo(NamedTuple):
+    """A file as the file system tells it: path, length in bytes, time of change in milliseconds."""
+
+    path: str
+    length: int
+    modified: int
+
+
 def list_files(spark: SparkSession, root: str) -> list[str]:
+    """Paths of the data files under ``root`` (see :func:`file_infos`)."""
+    return [f.path for f in file_infos(spark, root)]
+
+
+def file_infos(spark: SparkSession, root: str) -> list[FileInfo]:
     """Data files under ``root`` (recursively) as Spark's file index sees them.
 
     Empty files hold no header and no rows and are left out.  Any other file
     that is not named as a CSV raises, so no input is passed over in silence.
     """
     listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .load(root).select("path", "length"))
-    files = sorted(canonical_path(r.path) for r in listing.filter("length > 0").collect())
-    return checked_names(files)
+               .load(root).select("path", "length", F.unix_millis("modificationTime").alias("modified")))
+    files = sorted(FileInfo(canonical_path(r.path), r.length, r.modified) for r in listing.filter("length > 0").collect())
+    checked_names([f.path for f in files])
+    return files
 
 
 def checked_names(files: Sequence[str]) -> list[str]:
@@ -107,6 +121,31 @@ def group_by_header(spark: SparkSession, files: Iterable[str], threads: int = 16
     return dict(groups)
 
 
+def _drift_of(header: Sequence[str], schema: T.StructType, retired: Sequence[str]) -> tuple[list, list, list]:
+    """(retired, absent, unknown) columns of a header; names are compared without case."""
+    have = {c.lower() for c in header}
+    landing, gone = {f.name.lower(): f.name for f in schema.fields}, {c.lower() for c in retired}
+    return (sorted(c for c in header if c.lower() in gone),
+            sorted(name for low, name in landing.items() if low not in have and low != "filename"),
+            sorted(c for c in header if c.lower() not in landing and c.lower() not in gone))
+
+
+def header_drift(spark: SparkSession, groups: dict, schema: T.StructType = RAW_LISTING_SCHEMA,
+                 retired: Sequence[str] = DROPPED_LISTING_COLUMNS) -> DataFrame:
+    """How each file's header differs from the landing table: filename, n_columns, and the columns that
+    are retired (dropped on purpose), absent (read as NULL) and unknown (dropped, and to be looked at)."""
+    rows = [(f, len(h), *_drift_of(h, schema, retired)) for h, files in groups.items() for f in files]
+    return spark.createDataFrame(rows, "filename string, n_columns int, retired array<string>, absent array<string>, unknown array<string>")
+
+
+def check_columns(groups: dict, schema: T.StructType = RAW_LISTING_SCHEMA, retired: Sequence[str] = DROPPED_LISTING_COLUMNS) -> None:
+    """Raise if a file has a column that is neither in the landing table nor retired (the original's insert failed on those)."""
+    odd = {f: unknown for h, files in groups.items() if (unknown := _drift_of(h, schema, retired)[2]) for f in files}
+    if odd:
+        some = "; ".join(f"{f}: {', '.join(c)}" for f, c in sorted(odd.items())[:5])
+        raise ValueError(f"unknown columns in {len(odd)} file(s): {some}")
+
+
 def read_csv_group(spark: SparkSession, header: Sequence[str], files: Sequence[str],
                    options: dict | None = None) -> DataFrame:
     """One CSV read of files sharing ``header``; every column read as text."""
@@ -157,14 +196,15 @@ def typed_projection(df: DataFrame, schema: T.StructType = RAW_LISTING_SCHEMA) -
 
 def read_csv_by_header(spark: SparkSession, root: str | None, schema: T.StructType,
                        dropped: Sequence[str] = (), with_lineage: bool = True, multi_line: bool = True,
-                       files: Sequence[str] | None = None) -> DataFrame:
-    """Every CSV under ``root`` (or just ``files``), read once per distinct header, typed to ``schema``.
+                       files: Sequence[str] | None = None, groups: dict | None = None) -> DataFrame:
+    """Every CSV under ``root`` (or just ``files``, or files grouped by header), read once per
+    distinct header, typed to ``schema``.
 
     ``dropped`` columns go when present; unknown extra columns are dropped
-    too (the original's insert would have failed on them).
+    too (``header_drift`` names them; ``check_columns`` raises, as the original's insert did).
     """
-    files = list_files(spark, root) if files is None else checked_names(files)
-    groups = group_by_header(spark, files)
+    if groups is None:
+        groups = group_by_header(spark, list_files(spark, root) if files is None else checked_names(files))
     if not groups:
         return spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields]))
     opts = {"multiLine": "true" if multi_line else "false"}
@@ -177,9 +217,10 @@ def read_csv_by_header(spark: SparkSession, root: str | None, schema: T.StructTy
 
 def read_snapshots(spark: SparkSession, root: str | None, schema: T.StructType = RAW_LISTING_SCHEMA,
                    dropped: Sequence[str] = DROPPED_LISTING_COLUMNS, multi_line: bool = True,
-                   files: Sequence[str] | None = None) -> DataFrame:
-    """Listing snapshot files (all under ``root``, or just ``files``) as one typed frame with ``filename``."""
-    return read_csv_by_header(spark, root, schema, dropped, multi_line=multi_line, files=files)
+                   files: Sequence[str] | None = None, groups: dict | None = None) -> DataFrame:
+    """Listing snapshot files (all under ``root``, just ``files``, or files grouped by header) as one typed
+    frame with ``filename``."""
+    return read_csv_by_header(spark, root, schema, dropped, multi_line=multi_line, files=files, groups=groups)
 
 
 def read_lookup_csv(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:

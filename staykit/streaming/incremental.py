@@ -19,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..plans.refresh import mark_loaded, raw_jobs, start_marker, unseen_files
-from ..sources.snapshots import canonical_path, checked_names
+from ..plans.ledger import mark_loaded, raw_jobs, report_changes, stage, start_marker, unseen_files
+from ..plans.tables import file_system, read_table
+from ..sources.snapshots import FileInfo, canonical_path, checked_names
 
 # Schema of the binaryFile source (a stream must declare it).
 BINARY_FILE_SCHEMA = T.StructType([
@@ -31,20 +32,29 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+def file_info(spark: SparkSession, path: str) -> FileInfo:
+    """A file as it is now (it may have changed since the stream listed it)."""
+    fs, p = file_system(spark, path)
+    status = fs.getFileStatus(p)
+    return FileInfo(path, status.getLen(), status.getModificationTime())
+
+
 def append_batch(spark: SparkSession, batch: DataFrame, raw_path: str) -> None:
     """foreachBatch body: load the batch's files and append what is not there yet.
 
     Only ever appends: a batch that is run again finds its files marked as loaded,
     or, if it stopped before that, adds only what each table lacks.
     """
-    files = checked_names(sorted({canonical_path(r.path) for r in batch.select("path").distinct().collect()}))
+    paths = checked_names(sorted({canonical_path(r.path) for r in batch.select("path").distinct().collect()}))
     start_marker(spark, raw_path)
-    files = unseen_files(spark, files, raw_path)
+    files = unseen_files(spark, [file_info(spark, p) for p in paths], raw_path)
     if not files:
         return
-    for job in raw_jobs(spark, files, raw_path).values():
+    load = stage(spark, files, raw_path)
+    report_changes(spark, load, raw_path)
+    for job in raw_jobs(spark, load, raw_path).values():
         job()
-    mark_loaded(spark, files, raw_path)
+    mark_loaded(spark, load, raw_path)
 
 
 def start(spark: SparkSession, in_dir: str, raw_path: str, checkpoint: str, max_files: int = 1000):
@@ -67,4 +77,4 @@ def run_available(spark: SparkSession, in_dir: str, raw_path: str, checkpoint: s
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(raw_path)
+    return read_table(spark, raw_path)

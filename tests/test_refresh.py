@@ -31,7 +31,7 @@ def test_refresh_rerun_and_incremental_append(spark, scratch):
     # a second batch of files: only its keys are added, existing rows stay
     late = dict(inputs, listings=f"{root}/in2/listings")
     export_snapshots(rows.filter(F.col("calendar_last_scraped") >= "1999-01-01"), late["listings"])
-    refresh.run(spark, late, out_root, mode="append")
+    out = refresh.run(spark, late, out_root, mode="append")
     raw = spark.read.parquet(out["raw_listings"])
     assert raw.count() == counts["raw_listings"] + rows.filter(
         F.col("calendar_last_scraped") >= "1999-01-01").select("id", "filename").distinct().count()
@@ -116,9 +116,9 @@ def test_replace_table_over_its_own_input(spark, scratch):
     spark.range(5).write.parquet(path)
     plain = path.replace("file:", "", 1)
     for p in (path, plain):
-        df = spark.read.parquet(p).withColumn("id", F.col("id") + 1)
+        df = refresh.read_table(spark, p).withColumn("id", F.col("id") + 1)
         refresh.replace_table(df, p)
-    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2, 3, 4, 5, 6]
+    assert sorted(r.id for r in refresh.read_table(spark, path).collect()) == [2, 3, 4, 5, 6]
 
 
 HEAD = "id,host_id,host_name,host_location,host_is_superhost,neighbourhood_cleansed,price,has_availability,availability_30\n"
@@ -247,3 +247,116 @@ def test_owner_plan_joins_the_lookup_to_one_row_a_host(spark):
 
     plan = owner_rows(spark.createDataFrame([], RAW_LISTING_SCHEMA), spark.createDataFrame([], LOCATION_SCHEMA))._jdf.queryExecution().analyzed().toString()
     assert plan.index("Join LeftOuter") < plan.index("Aggregate [host_id")  # the join stands above the aggregate
+
+
+def names_of(rows):
+    return [(r[0].rpartition("/")[2], *r[1:]) for r in rows]
+
+
+def test_a_file_delivered_again_adds_its_new_keys(spark, scratch):
+    inputs, root = small_inputs(scratch)
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3", "2,10,A,x,t,Bondi,$6.00,t,3", "bad,1,A,x,t,Bondi,$6.00,t,3")
+    month_file(inputs, "2020-02-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3")
+    refresh.run(spark, inputs, f"{root}/out", mode="append")
+    # January grows by a listing with a new host, loses one and repeats one with another price; one more bad row
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$9.00,t,3", "3,11,B,x,t,Bondi,$7.00,t,3", "bad,1,A,x,t,Bondi,$6.00,t,3", "x,1,,,,,,,")
+    out = refresh.run(spark, inputs, f"{root}/out", mode="append")
+    assert names_of(rows_in(spark, out, "raw_listings", "filename", "id", "price")) == [
+        ("2020-01-01.csv", 1, "$5.00"), ("2020-01-01.csv", 2, "$6.00"), ("2020-01-01.csv", 3, "$7.00"), ("2020-02-01.csv", 1, "$5.00")]
+    assert rows_in(spark, out, "fact", "id", "month") == [(1, 1), (1, 2), (2, 1), (3, 1)]
+    assert rows_in(spark, out, "owners", "host_id") == [(10,), (11,)]
+    told = names_of(rows_in(spark, out, "raw_changes", "filename", "load", "n_before", "n_now", "n_added", "n_gone"))
+    assert told == [("2020-01-01.csv", 2, 2, 2, 1, 1)]
+    rejects = spark.read.parquet(out["raw_rejects"]).groupBy("filename", "reason").agg(F.sum("n_rows")).collect()
+    assert names_of(rejects) == [("2020-01-01.csv", "id", 2)]
+    # nothing has changed since: nothing is read or told again
+    again = refresh.run(spark, inputs, f"{root}/out", mode="append")
+    assert names_of(rows_in(spark, again, "raw_changes", "filename", "load", "n_before", "n_now", "n_added", "n_gone")) == told
+    assert [(r[0], *r[2:]) for r in rows_in(spark, again, "loaded", "load", "filename", "n_rows", "n_rejects")] == [(1, 2, 1), (1, 1, 0), (2, 2, 2)]
+
+
+def test_a_shrunk_file_is_reported_and_its_rows_stay(spark, scratch):
+    inputs, root = small_inputs(scratch)
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3", "2,10,A,x,t,Bondi,$6.00,t,3")
+    refresh.run(spark, inputs, f"{root}/out", mode="append", until="raw")
+    month_file(inputs, "2020-01-01.csv")
+    out = refresh.run(spark, inputs, f"{root}/out", mode="append", until="raw")
+    assert rows_in(spark, out, "raw_listings", "id") == [(1,), (2,)]
+    assert names_of(rows_in(spark, out, "raw_changes", "filename", "n_before", "n_now", "n_added", "n_gone")) == [("2020-01-01.csv", 2, 0, 0, 2)]
+
+
+def test_a_changed_file_whose_load_stopped_is_told_once(spark, scratch, monkeypatch):
+    inputs, root = small_inputs(scratch)
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3")
+    refresh.run(spark, inputs, f"{root}/out", mode="append", until="raw")
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3", "2,10,A,x,t,Bondi,$6.00,t,3")
+
+    def lost(*a):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "mark_loaded", lost)
+        with pytest.raises(OSError):
+            refresh.run(spark, inputs, f"{root}/out", mode="append", until="raw")
+    out = refresh.run(spark, inputs, f"{root}/out", mode="append", until="raw")
+    assert rows_in(spark, out, "raw_listings", "id") == [(1,), (2,)]
+    assert names_of(rows_in(spark, out, "raw_changes", "filename", "load", "n_before", "n_now", "n_added", "n_gone")) == [("2020-01-01.csv", 2, 1, 2, 1, 0)]
+
+
+def test_every_csv_is_read_once(spark, scratch, monkeypatch):
+    """The staged table is the only reader of the listing files; later jobs read that."""
+    from staykit.plans import ledger
+    from staykit.sources import snapshots
+
+    inputs, root = small_inputs(scratch)
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3", "bad,1,A,x,t,Bondi,$6.00,t,3")
+    load = ledger.stage(spark, snapshots.file_infos(spark, inputs["listings"]), f"{root}/raw")
+    month_file(inputs, "2020-01-01.csv")  # whoever reads the file again finds no rows
+    for job in ledger.raw_jobs(spark, load, f"{root}/raw").values():
+        job()
+    ledger.mark_loaded(spark, load, f"{root}/raw")
+    assert [r.id for r in refresh.read_table(spark, f"{root}/raw").collect()] == [1]
+    assert [r.n_rows for r in refresh.read_table(spark, f"{root}/raw.rejects").collect()] == [1]
+    assert [(r.n_rows, r.n_rejects) for r in ledger.ledger(spark, f"{root}/raw").collect()] == [(1, 1)]
+    assert not os.path.exists(load.path.replace("file:", "", 1))
+
+
+def test_unknown_columns_are_named_or_raise(spark, scratch):
+    inputs, root = small_inputs(scratch)
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3")
+    with open(f"{inputs['listings']}/2020-02-01.csv", "w") as f:
+        f.write("ID,host_id,summary,Pets,colour\n2,10,s,1,red\n")
+    with pytest.raises(ValueError, match="2020-02-01.csv: Pets, colour"):
+        refresh.run(spark, inputs, f"{root}/out", mode="append", strict_columns=True)
+    assert refresh.current(spark, f"{root}/out/raw/listings") is None
+    out = refresh.run(spark, inputs, f"{root}/out", mode="append", until="raw")
+    told = {r.filename.rpartition("/")[2]: r for r in spark.read.parquet(out["loaded"]).collect() if r.load}
+    assert (told["2020-01-01.csv"].unknown, told["2020-01-01.csv"].retired) == ([], [])
+    assert (told["2020-02-01.csv"].unknown, told["2020-02-01.csv"].retired) == (["Pets", "colour"], ["summary"])
+    assert "price" in told["2020-02-01.csv"].absent and "id" not in told["2020-02-01.csv"].absent
+
+
+def test_a_recompute_that_stops_anywhere_leaves_whole_tables(spark, scratch, monkeypatch):
+    """Each table is the old or the new one, and the next run completes what was left."""
+    inputs, root = small_inputs(scratch)
+    month_file(inputs, "2020-01-01.csv", "1,10,A,x,t,Bondi,$5.00,t,3")
+    refresh.run(spark, inputs, f"{root}/out")
+    os.rename(f"{inputs['listings']}/2020-01-01.csv", f"{root}/old.csv")
+    month_file(inputs, "2020-02-01.csv", "2,11,B,x,t,Bondi,$5.00,t,3")
+    replace, calls = refresh.replace_table, []
+
+    def stops(df, path, *a):
+        calls.append(path)
+        if path.endswith("star/owners"):
+            raise OSError("lost")
+        return replace(df, path, *a)
+
+    with monkeypatch.context() as m:
+        m.setattr(refresh, "replace_table", stops)
+        with pytest.raises(OSError):
+            refresh.run(spark, inputs, f"{root}/out")
+    ids = {n: [r[0] for r in refresh.read_table(spark, f"{root}/out/{p}").select(c).collect()]
+           for n, p, c in (("raw", "raw/listings", "id"), ("owners", "star/owners", "host_id"), ("kpi", "kpi/region_month", "month"))}
+    assert ids == {"raw": [2], "owners": [10], "kpi": [1]}
+    out = refresh.run(spark, inputs, f"{root}/out")
+    assert rows_in(spark, out, "owners", "host_id") == [(11,)] and rows_in(spark, out, "kpi_region_month", "month") == [(2,)]

@@ -1,0 +1,83 @@
+import os
+
+import pytest
+
+from staykit.plans import tables
+
+
+def ids(spark, path):
+    return sorted(r.id for r in tables.read_table(spark, path).collect())
+
+
+def local(path):
+    return path.replace("file:", "", 1)
+
+
+@pytest.mark.parametrize("step", ["write", "_commit", "_remove_old"])
+def test_a_failure_at_any_step_leaves_the_old_or_the_new_table(spark, scratch, monkeypatch, step):
+    path = scratch("table")
+    tables.replace_table(spark.range(3), path)
+
+    def lost(*a):
+        raise OSError("lost")
+
+    df = spark.range(10, 12)
+    with monkeypatch.context() as m:
+        if step == "write":  # a task fails after others have written
+            df = df.selectExpr("if(id = 11, raise_error('lost'), id) as id")
+        else:
+            m.setattr(tables, step, lost)
+        with pytest.raises(Exception, match="lost"):
+            tables.replace_table(df, path)
+    assert ids(spark, path) == ([10, 11] if step == "_remove_old" else [0, 1, 2])
+    tables.replace_table(spark.range(20, 21), path)
+    assert ids(spark, path) == [20]
+    assert len(tables.versions(spark, path)) <= 2
+
+
+def test_a_failed_first_write_is_no_table(spark, scratch, monkeypatch):
+    path = scratch("table")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            tables.replace_table(spark.range(3), path)
+    assert not tables.has_data(spark, path) and tables.current(spark, path) is None
+    tables.append_table(spark.range(2), path)
+    assert ids(spark, path) == [0, 1]
+
+
+def test_readers_of_the_last_version_keep_it(spark, scratch):
+    path = scratch("table")
+    tables.replace_table(spark.range(3), path)
+    reader = tables.read_table(spark, path)
+    tables.replace_table(spark.range(5), path)
+    assert reader.count() == 3 and tables.read_table(spark, path).count() == 5
+
+
+def test_appends_go_to_the_version_that_stands(spark, scratch):
+    path = scratch("table")
+    tables.append_table(spark.range(2), path)
+    tables.append_table(spark.range(2, 3), path)
+    assert ids(spark, path) == [0, 1, 2] and tables.current(spark, path) == path
+    tables.replace_table(tables.read_table(spark, path).filter("id > 0"), path)
+    tables.append_table(spark.range(7, 8), path)
+    assert ids(spark, path) == [1, 2, 7]
+    tables.replace_table(tables.read_table(spark, path), path)
+    assert ids(spark, path) == [1, 2, 7]
+    assert not [f for f in os.listdir(local(path)) if f.endswith(".parquet")]
+
+
+def test_the_folder_itself_is_no_table(spark, scratch):
+    path = scratch("table")
+    tables.replace_table(spark.range(3), path)
+    with pytest.raises(Exception, match="schema"):
+        spark.read.parquet(path)
+
+
+def test_versions_of_a_partitioned_table(spark, scratch):
+    path = scratch("table")
+    df = spark.range(4).selectExpr("id", "id % 2 as p")
+    tables.replace_table(df, path, ("p",))
+    tables.append_table(spark.range(4, 6).selectExpr("id", "id % 2 as p"), path, ("p",))
+    assert ids(spark, path) == [0, 1, 2, 3, 4, 5]
+    assert tables.read_table(spark, path).filter("p = 1").count() == 3
