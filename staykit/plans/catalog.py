@@ -25,11 +25,11 @@ from ..schemas import (G01_SCHEMA, G02_SCHEMA, LOCATION_KEY, LOCATION_SCHEMA, RA
                        REGION_KEYS, SEGMENT_KEYS)
 from ..session import scratch_path
 from ..sources import fixture as fx
-from ..sources.export import export_snapshots, export_table_csv, lineage_columns
+from ..sources.export import export_snapshots, export_table_csv, lineage_columns, redeliver
 from ..sources.snapshots import file_infos, read_lookup_csv, read_snapshots, typed_projection
 from . import refresh
 from .layers import materialized, written_once
-from .ledger import stage
+from .ledger import mark_loaded, raw_jobs, report_changes, stage, start_marker, unseen_files
 from .star import age_band_totals, build_census, build_fact, build_owners, fill_missing_region, \
     host_listing_count, load_raw, owner_rows
 from .tables import read_table, replace_table
@@ -510,18 +510,47 @@ def pipeline_host_kpi(spark, d):
 
 @query
 def pipeline_append(spark, d):
-    """Facts after three appends of files, the second stopped after the raw layer and made good by the third."""
+    """Facts after four appends of files.  The second stops after the raw layer and is made good by the
+    third, whose files hold half of the listings; the fourth is given the same files, grown to all of them."""
     rows = _rows(spark, d)
     year = F.year(F.to_date("calendar_last_scraped"))
     root = scratch_path(spark, "append")
     inputs = _job_inputs(spark, d)
-    for part, cond, until in (("a", year < 1996, None), ("b", year == 1996, "raw"), ("c", year > 1996, None)):
-        export_snapshots(rows.filter(cond), f"{root}/in/{part}")
+    for part, cond, until in (("a", year < 1996, None), ("b", year == 1996, "raw"), ("c", (year > 1996) & (F.col("id") % 2 == 0), None),
+                              ("c", year > 1996, None)):
+        redeliver(spark, export_snapshots(rows.filter(cond), scratch_path(spark, "delivery")), f"{root}/in/{part}")
         out = refresh.run(spark, dict(inputs, listings=f"{root}/in/{part}"), f"{root}/out", mode="append", until=until)
     return spark.read.parquet(out["fact"]).select("id", "year", "month", "host_id", "lga_code",
                                                   F.col("price").cast("double").alias("price"))
 
 
+@query
+def changed_files(spark, d):
+    """What a second delivery of every file changed: one third of the listings is new, one third gone."""
+    rows = _rows(spark, d)
+    root = scratch_path(spark, "changed")
+    raw_path = f"{root}/raw"
+    start_marker(spark, raw_path)
+    for other in (0, 1):
+        redeliver(spark, export_snapshots(rows.filter(F.col("id") % 3 != other), scratch_path(spark, "delivery")), f"{root}/in")
+        load = stage(spark, unseen_files(spark, file_infos(spark, f"{root}/in"), raw_path), raw_path)
+        report_changes(spark, load, raw_path)
+        for job in raw_jobs(spark, load, raw_path).values():
+            job()
+        mark_loaded(spark, load, raw_path)
+    return lineage_columns(read_table(spark, f"{raw_path}.changes")).drop("load")
+
+
+@query
+def header_drift(spark, d):
+    """How the header of each file differs from the landing table."""
+    from ..sources import snapshots
+
+    files = snapshots.list_files(spark, _snapshot_files(spark, d))
+    drift = snapshots.header_drift(spark, snapshots.group_by_header(spark, files))
+    return lineage_columns(drift).withColumns({c: F.array_join(c, ",") for c in ("retired", "absent", "unknown")})
+
+
 @query
 def incremental_load(spark, d):
     """The snapshot load as an availableNow file stream with keyed appends."""

@@ -15,7 +15,7 @@ is exactly one file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_LISTING_COLUMNS
@@ -58,6 +58,33 @@ def export_snapshots(rows: DataFrame, root: str, compression: str | None = None)
     return root
 
 
+def redeliver(spark: SparkSession, new_root: str, old_root: str) -> str:
+    """Deliver the files of one export again under the names of another: a file of ``new_root``
+    takes the place of the file of the same month in ``old_root``, or comes as a new one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(old_root).getFileSystem(conf)
+
+    def by_month(root: str) -> dict:
+        base, out = fs.makeQualified(path(root)).toString(), {}
+        files = fs.listFiles(path(root), True) if fs.exists(path(root)) else None
+        while files is not None and files.hasNext():
+            p = files.next().getPath()
+            if p.getName().startswith("part-"):
+                out[p.getParent().toString()[len(base):].strip("/")] = p
+        return out
+
+    old = by_month(old_root)
+    for month, p in by_month(new_root).items():
+        target = old.get(month) or path(f"{old_root}/{month}/{p.getName()}")
+        fs.mkdirs(target.getParent())
+        if month in old:
+            fs.delete(target, False)
+        if not fs.rename(p, target):
+            raise OSError(f"could not deliver {target}")
+    return old_root
+
+
 def export_table_csv(df: DataFrame, path: str) -> str:
     """A lookup or census table as CSV with a header."""
     df.write.mode("overwrite").options(**WRITE_OPTIONS).csv(path)
