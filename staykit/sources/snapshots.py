@@ -47,9 +47,15 @@ def canonical_path(path: str) -> str:
 
 
 def lineage():
-    """The path of a row's file: escapes undone, one spelling of the local scheme."""
-    decoded = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
-    return F.regexp_replace(decoded, r"^file:/+", "file:/")
+    """The path of a row's file: escapes undone, one spelling of the local scheme.
+
+    The path is constant within a file, so only cheap tests run on every row: escapes
+    are undone where there are any, and no regular expression is used.
+    """
+    path = F.col("_metadata.file_path")
+    decoded = F.when(F.contains(path, F.lit("%")), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+    return F.when(F.startswith(decoded, F.lit("file:/")), F.concat(F.lit("file:/"), F.ltrim(F.substr(decoded, F.lit(6)), F.lit("/")))
+                  ).otherwise(decoded)
 
 
 class FileInfo(NamedTuple):

@@ -356,7 +356,7 @@ def test_a_recompute_that_stops_anywhere_leaves_whole_tables(spark, scratch, mon
         with pytest.raises(OSError):
             refresh.run(spark, inputs, f"{root}/out")
     ids = {n: [r[0] for r in refresh.read_table(spark, f"{root}/out/{p}").select(c).collect()]
-           for n, p, c in (("raw", "raw/listings", "id"), ("owners", "star/owners", "host_id"), ("kpi", "kpi/region_month", "month"))}
+           for n, p, c in (("raw", "raw/listings", "id"), ("owners", "star/owners", "host_id"), ("kpi", "kpi/host_region_month", "month"))}
     assert ids == {"raw": [2], "owners": [10], "kpi": [1]}
     out = refresh.run(spark, inputs, f"{root}/out")
-    assert rows_in(spark, out, "owners", "host_id") == [(11,)] and rows_in(spark, out, "kpi_region_month", "month") == [(2,)]
+    assert rows_in(spark, out, "owners", "host_id") == [(11,)] and rows_in(spark, out, "kpi_host_region_month", "month") == [(2,)]
