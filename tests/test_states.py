@@ -1,0 +1,61 @@
+"""States that appends keep up: any order of batches gives what the whole history gives."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from staykit.operators.keys import first_per_key, first_per_key_split
+from staykit.operators.kpi import merge_month_counts, mom_change, month_counts
+from staykit.operators.listings import merge_place_bounds, moved_by_bounds, moved_ids, place_bounds
+from staykit.plans.star import load_raw
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_place_bounds_of_batches_in_any_order(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(40), rng.choice(["a", "A", "b", None]) if rng.random() < 0.2 else "a", b) for b in range(5) for _ in range(40)]
+    df = spark.createDataFrame(rows, "id long, neighbourhood_cleansed string, batch int")
+    batches = list(range(5))
+    rng.shuffle(batches)
+    state = place_bounds(df.filter("false"))
+    for b in [*batches, batches[0]]:  # one batch comes twice
+        state = merge_place_bounds(state, place_bounds(df.filter(F.col("batch") == b)))
+    assert rows_of(state) == rows_of(place_bounds(df))
+    assert rows_of(moved_by_bounds(state)) == rows_of(moved_ids(df))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_month_counts_of_months_in_any_order(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, 1, rng.choice(["x", "y", None]), 2020, m, rng.choice("tf"), 5.0, 3, None) for m in range(1, 7) for i in range(30) if rng.random() < 0.4]
+    fact = spark.createDataFrame(rows, "id long, host_id long, lga_code string, year int, month int, has_availability string, "
+                                       "price double, availability_30 int, review_scores_rating double")
+    months = list(range(1, 7))
+    rng.shuffle(months)
+    state = month_counts(fact.filter("false"), ["lga_code"])
+    for m in [*months, months[0]]:  # late months, and one counted again
+        state = merge_month_counts(state, month_counts(fact, ["lga_code"], months=[(2020, m)]), [(2020, m)])
+    whole = month_counts(fact, ["lga_code"])
+    assert rows_of(state) == rows_of(whole)
+    for c in ("na", "ni"):
+        assert rows_of(mom_change(state, ["lga_code"], c, "change")) == rows_of(mom_change(whole, ["lga_code"], c, "change"))
+
+
+def test_split_keeps_the_rows_of_the_aggregate(spark):
+    rows = [(k % 50 if k % 7 else None, f"f{k % 2}", f"n{k * 37 % 11}", float(k % 5)) for k in range(300)] + [(1000 + k, "f", "n", 0.0) for k in range(200)]
+    df = spark.createDataFrame(rows, "id long, filename string, name string, price double")
+    assert rows_of(first_per_key_split(df, ["id", "filename"], ["price"])) == rows_of(first_per_key(df, ["id", "filename"], ["price"]))
+
+
+def test_load_does_not_sort_unique_rows(spark, scratch):
+    path = scratch("staged")
+    spark.range(2000).selectExpr("id", "'f' as filename", "cast(id as string) as name").write.parquet(path)
+    df = load_raw(spark.read.parquet(path))
+    assert df.count() == 2000
+    plan = df._jdf.queryExecution().toString()
+    assert "LeftAnti" in plan and plan.index("LeftAnti") < plan.index("Aggregate")
