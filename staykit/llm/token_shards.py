@@ -42,7 +42,7 @@ MAGIC = b"RPTK"  # fixed value
 SAMPLE = 4096
 TAIL = ".,!?*$%&#|;:"  # punctuation without the apostrophe, which the tokenizer treats on its own
 NULL_ID = -(1 << 63)  # stands for a null document id in the file
-_encoders: dict[str, "WordEncoder"] = {}
+_encoders: dict[tuple[str, bool], "WordEncoder"] = {}
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -57,14 +57,17 @@ class WordEncoder:
     A byte-level tokenizer of this kind always cuts before a single space
     between two other characters, so a text is a row of words with one space
     before each; they are encoded together in one call and cut at the ids that
-    begin with a space.  Other texts go to the library whole.
+    begin with a space.  Other texts go to the library whole, also those that hold the
+    string of a special token, which the library takes as that token (as ordinary
+    text with ``plain_specials``).
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_specials: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain_specials
+        self.specials = [] if plain_specials else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.n_ids = self.tokenizer.get_vocab_size()
         vocab = self.tokenizer.get_vocab()
         self.opens = np.zeros(self.n_ids, bool)
@@ -102,14 +105,14 @@ class WordEncoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32 bytes."""
-        docs, words = [t.split(" ") for t in texts], set()
+        docs, words = [t.split(" ") if not any(s in t for s in self.specials) else None for t in texts], set()
         for parts in docs:
-            words.update(parts)
+            words.update(parts or ())
         # words with white space at an end would merge with their neighbour's; only new ones need a look
         odd = {w for w in words.difference(self.words.known) if not _is_word(w)}
         whole = []
         for k, (text, parts) in enumerate(zip(texts, docs)):
-            if odd and not odd.isdisjoint(parts):
+            if parts is None or odd and not odd.isdisjoint(parts):
                 docs[k] = None
                 whole.append(text)
             else:
@@ -124,13 +127,13 @@ def _is_word(w: str) -> bool:
     return w != "" and not w[0].isspace() and not w[-1].isspace()
 
 
-def word_encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
+def word_encoder(path: str, plain_specials: bool = False) -> WordEncoder:
+    if (path, plain_specials) not in _encoders:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+        _encoders[path, plain_specials] = WordEncoder(path, plain_specials)
+    return _encoders[path, plain_specials]
 
 
 # --- grammar ---------------------------------------------------------------
@@ -300,8 +303,10 @@ class Shard:
 # --- Spark -----------------------------------------------------------------
 
 def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 2,
-                 shard_tokens: int = 4_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 shard_tokens: int = 4_000_000, id_col: str = "doc_id", text_col: str = "text",
+                 plain_specials: bool = False) -> DataFrame:
     """Write all documents in ascending id order; returns the table of shards.
+    ``plain_specials`` encodes the strings of special tokens in texts as ordinary text.
 
     Its rows (part, shard, file, n_docs, n_tokens) are in the order (part,
     shard).  The texts are shuffled once, by range of the id.
@@ -315,7 +320,7 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
         from pyspark import TaskContext
 
         part, shard = TaskContext.get().partitionId(), 0
-        encoder = word_encoder(path)
+        encoder = word_encoder(path, plain_specials)
         end = np.array([end_id], "<u4").tobytes()
         ids: list[int] = []
         bodies: list[bytes] = []

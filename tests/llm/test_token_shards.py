@@ -14,9 +14,7 @@ from text_cases import ODD
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(ts.tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(ts.tokenizer_path())
 
 
 @settings(max_examples=400, deadline=None)
@@ -26,6 +24,16 @@ def test_ids_equal_the_library(library, texts):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_strings_of_special_tokens(library):
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b c", "plain <|endoftex|> words", " <|endoftext|><|endoftext|> "]
+    for plain in (False, True):
+        library.encode_special_tokens = plain
+        got = ts.word_encoder(ts.tokenizer_path(), plain).encode_batch(texts)
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert (50256 in np.frombuffer(got[0], "<u4")) != plain
+    library.encode_special_tokens = False
+
+
 def shard_of(docs, terminals):
     tokens = np.array([t for d in docs for t in d], np.uint32)
     return ts.Shard(ts.shard_bytes(np.arange(len(docs)), tokens, np.array([len(d) for d in docs]), terminals))
