@@ -16,23 +16,27 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import (host_city, is_true_flag, not_missing, parse_money, price_mixed_format,
                                snapshot_date, snapshot_month, snapshot_year)
+from ..operators.constraints import BROKEN, broken_rules, foreign_key, not_null, repeated_rows
 from ..operators.keys import (audit_duplicate_key, audit_foreign_key, audit_null_key, first_per_key,
                               insert_if_absent, key_report)
 from ..operators.kpi import TIME_KEYS, group_kpis, host_region_kpis, mom_change, superhost_rate
 from ..operators.listings import exclude_moved, lookup_region, moved_ids
 from ..operators.median import exact_median
-from ..schemas import (G01_SCHEMA, G02_SCHEMA, LOCATION_KEY, LOCATION_SCHEMA, RAW_LISTING_SCHEMA,
+from ..schemas import (FACT_KEY, G01_SCHEMA, G02_SCHEMA, LOCATION_KEY, LOCATION_SCHEMA, RAW_LISTING_SCHEMA,
                        REGION_KEYS, SEGMENT_KEYS)
 from ..session import scratch_path
 from ..sources import fixture as fx
-from ..sources.export import export_snapshots, export_table_csv, lineage_columns, redeliver
+from ..sources.export import (census_wide, export_census_wide, export_snapshots, export_table_csv, lineage_columns,
+                              redeliver)
+from ..sources.inferred import read_inferred_csv
 from ..sources.snapshots import file_infos, read_lookup_csv, read_snapshots, typed_projection
 from . import refresh
 from .layers import materialized, written_once
 from .ledger import mark_loaded, raw_jobs, report_changes, stage, start_marker, unseen_files
+from .quarantine import held_rows, load_checked
 from .star import age_band_totals, build_census, build_fact, build_owners, fill_missing_region, \
     host_listing_count, load_raw, owner_rows
-from .tables import read_table, replace_table
+from .tables import append_table, read_table, replace_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -57,6 +61,7 @@ _KEY_OF = {
     "host_listing_count_kept": "host_listing_count",
     "exclude_moved_raw": "exclude_moved",
     "superhost_rate_region": "superhost_rate",
+    "repeated_rows_raw": "repeated_rows",
 }
 
 
@@ -157,6 +162,13 @@ def csv_census_g02_scan(spark, d):
     return read_lookup_csv(spark, path, G02_SCHEMA)
 
 
+@query
+def csv_census_inferred(spark, d):
+    """The first census table at its full width, types found from the data."""
+    path = written_once(spark, d, "g01-wide-csv", lambda p: export_census_wide(census_wide(spark, d), p))
+    return read_inferred_csv(spark, path, G01_SCHEMA)
+
+
 @query
 def load_snapshots(spark, d):
     """The load itself: files parsed once into a staged table, then one row a key."""
@@ -257,6 +269,44 @@ def audit_kpi_key(spark, d):
     return key_report(group_kpis(fact, owners, REGION_KEYS), REGION_MONTH)
 
 
+def _fact_rules(owners: DataFrame, census: DataFrame) -> list:
+    """The fact's constraints, when every seventh owner is yet to come."""
+    return [not_null("fact_null_key", FACT_KEY), not_null("fact_null_region", ["lga_code"]),
+            foreign_key("fact_census_fk", "lga_code", census, "LGA_CODE_2016"),
+            foreign_key("fact_owner_fk", "host_id", owners.filter("host_id % 7 <> 0"), "host_id")]
+
+
+@query
+def constraint_rows(spark, d):
+    """Each fact row once for each constraint that it breaks."""
+    fact, owners = _star(spark, d)
+    judged = broken_rules(fact, _fact_rules(owners, build_census(*_census_parts(spark, d))))
+    return judged.select("id", "year", "month", "host_id", "lga_code", F.explode(BROKEN).alias("rule"))
+
+
+@query
+def quarantine_release(spark, d):
+    """The fact after two checked loads, held rows with the rules they break.  The first load meets a part of the
+    census; its held rows are judged again by the second, which brings the other months and the whole census."""
+    fact, owners = _star(spark, d)
+    census = build_census(*_census_parts(spark, d))
+    root = scratch_path(spark, "checked")
+    table, held_path = f"{root}/fact", f"{root}/held"
+    for late, areas in ((False, census.filter("length(LGA_CODE_2016) = 4")), (True, census)):
+        new = fact.filter(F.col("month") > 6 if late else F.col("month") <= 6)
+        load_checked(spark, new, held_rows(spark, held_path), held_path, _fact_rules(owners, areas), FACT_KEY,
+                     lambda rows: append_table(rows, table))
+    kept = read_table(spark, table).withColumn(BROKEN, F.array().cast("array<string>"))
+    return kept.unionByName(read_table(spark, held_path)).select(
+        "id", "year", "month", "host_id", "lga_code", F.array_join(BROKEN, ",").alias("broken"))
+
+
+@query
+def repeated_rows_raw(spark, d):
+    """Snapshot rows that the raw load leaves out as repetitions of their key."""
+    return repeated_rows(_rows(spark, d), ["id", "filename"]).select("id", "filename", "host_id", "name", "price", "copies")
+
+
 @query
 def load_rejects(spark, d):
     """Rows whose id or host id is no number, or whose file has no date, counted by file and reason."""

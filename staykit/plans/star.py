@@ -91,7 +91,8 @@ def build_census(g01: DataFrame, g02: DataFrame) -> DataFrame:
     """Census dimension: G01 inner join G02 on the LGA code, one row per code."""
     g02 = g02.select("LGA_CODE_2016", "Median_age_persons", "Median_mortgage_repay_monthly",
                      "Average_household_size")
-    joined = age_band_totals(g01).join(g02, "LGA_CODE_2016", "inner")
+    g01 = age_band_totals(g01).select(*[c for c in CENSUS_COLUMNS if c not in g02.columns or c == "LGA_CODE_2016"])
+    joined = g01.join(g02, "LGA_CODE_2016", "inner")
     return first_per_key(joined.select(*CENSUS_COLUMNS), CENSUS_KEY)
 
 

@@ -91,6 +91,34 @@ def export_table_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+def census_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first census table as text, with columns beyond those that the dimension reads:
+    ``Peak_balance`` (decimals), ``Area_code`` (digits with leading zeros, in other nations with a letter),
+    ``Share`` (whole numbers for nations of the first regions, decimals for the others), ``Persons_scaled`` (too
+    long for 64 bits) and ``Remarks`` (no value)."""
+    from .fixture import census_g01, read_table
+
+    c, n = read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation")
+    extra = (c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_nationkey", "n_regionkey").agg(
+        F.max("c_acctbal").cast("string").alias("Peak_balance"), F.count(F.lit(1)).alias("_n"))
+        .select(F.concat(F.lit("LGA"), F.col("n_nationkey")).alias("LGA_CODE_2016"), F.col("n_regionkey").alias("region"), "Peak_balance",
+                F.concat(F.when(F.col("n_nationkey") < 10, F.lit("00")).otherwise(F.lit("A")), F.col("n_nationkey")).alias("Area_code"),
+                F.when(F.col("n_regionkey") <= 2, F.col("_n").cast("string"))
+                .otherwise((F.col("_n") / 2).cast("decimal(20,1)").cast("string")).alias("Share"),
+                F.concat(F.col("_n").cast("string"), F.lit("0" * 20)).alias("Persons_scaled"),
+                F.lit(None).cast("string").alias("Remarks")))
+    return census_g01(spark, sf_dir).join(extra, "LGA_CODE_2016")
+
+
+def export_census_wide(wide: DataFrame, root: str) -> str:
+    """``census_wide`` as CSVs of two shapes: the other regions' files have their columns
+    reversed and lack ``Remarks``."""
+    columns = [c for c in wide.columns if c != "region"]
+    export_table_csv(wide.filter("region <= 2").select(*columns), f"{root}/first")
+    export_table_csv(wide.filter("region > 2").select(*[c for c in reversed(columns) if c != "Remarks"]), f"{root}/second")
+    return root
+
+
 def lineage_columns(df: DataFrame) -> DataFrame:
     """Replace the file path by the source folder and the snapshot date it names."""
     from ..functions.clean import snapshot_date

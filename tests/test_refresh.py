@@ -360,3 +360,31 @@ def test_a_recompute_that_stops_anywhere_leaves_whole_tables(spark, scratch, mon
     assert ids == {"raw": [2], "owners": [10], "kpi": [1]}
     out = refresh.run(spark, inputs, f"{root}/out")
     assert rows_in(spark, out, "owners", "host_id") == [(11,)] and rows_in(spark, out, "kpi_host_region_month", "month") == [(2,)]
+
+
+def test_enforced_constraints_hold_rows_until_their_parent_comes(spark, scratch):
+    root = scratch("refresh")
+    rows = fx.listing_rows(spark, SF)
+    g01, g02 = fx.census_g01(spark, SF), fx.census_g02(spark, SF)
+    inputs = {"location": f"{root}/in/location", "g01": f"{root}/in/g01", "g02": f"{root}/in/g02"}
+    export_table_csv(fx.locality_lookup(spark, SF), inputs["location"])
+    export_table_csv(g02, inputs["g02"])
+    early = F.col("calendar_last_scraped") < "1996-01-01"
+    for n, part, census in ((1, early, g01.filter("length(LGA_CODE_2016) = 4")), (2, ~early, g01)):
+        export_table_csv(census, inputs["g01"])
+        export_snapshots(rows.filter(part), f"{root}/in/{n}")
+        out = refresh.run(spark, dict(inputs, listings=f"{root}/in/{n}"), f"{root}/out", mode="append", enforce=True)
+        if n == 1:
+            held = spark.read.parquet(out["held_fact"])
+            first = held.filter("length(lga_code) = 5").select("id", "year", "month").collect()
+            assert first and {tuple(r.broken) for r in held.collect()} == {("fact_census_fk",)}
+    fact, held = spark.read.parquet(out["fact"]), spark.read.parquet(out["held_fact"])
+    known = {r.LGA_CODE_2016 for r in spark.read.parquet(out["census"]).collect()}
+    assert {r.lga_code for r in fact.select("lga_code").distinct().collect()} <= known | {None}
+    assert not known & {r.lga_code for r in held.collect()} and held.count() > 0
+    moved = {r.id for r in rows.groupBy("id").agg(F.countDistinct(F.coalesce("neighbourhood_cleansed", F.lit("NaN"))).alias("n"))
+             .filter("n > 1").collect()}
+    keys = {(r.id, r.year, r.month) for r in fact.collect()}
+    areas = {(r.id, r.year, r.month): r for r in held.collect()}
+    assert all(tuple(r) in keys or tuple(r) in areas or r.id in moved for r in first) and any(tuple(r) in keys for r in first)
+    assert spark.read.parquet(out["audit_fact_census_fk"]).count() == 0
