@@ -12,6 +12,10 @@ record's start only if the member there decodes to a WARC header, and owns the
 records that start in its range, reading on past its end for the last one.  So
 a file of any size is read by many tasks and each record exactly once.
 
+A member may hold several records (they share its place).  A member that begins
+as a record and is cut short or broken, and a rest of one that holds no whole
+record, give a row of type ``damaged`` without other fields.
+
 Null payloads are written empty, null addresses left out.  Line breaks and
 other control characters in addresses are percent-encoded.
 """
@@ -87,57 +91,91 @@ class _Window:
         return -1
 
 
-def _member(window: _Window, at: int) -> tuple[bytes, int] | None:
-    """(content, end) of the gzip member at ``at`` if it decodes to a WARC record, else None."""
+DAMAGED = {"version": None, "fields": {"warc-type": "damaged"}, "block": b""}
+
+
+def _begins_as_record(raw: bytes) -> bool:
+    try:
+        return zlib.decompressobj(31).decompress(raw, len(VERSION)).startswith(b"WARC/1.")
+    except zlib.error:
+        return False
+
+
+def _member(window: _Window, at: int) -> tuple[tuple[bytes, int] | None, bool]:
+    """(content, end) of the gzip member at ``at`` if it decodes and begins as a WARC record, else None; and whether it begins so."""
     unpack, out, pos, valid = zlib.decompressobj(31), [], at, False
     step = 4096
     while not unpack.eof:
         raw = window.read(pos, step)
         if not raw:
-            return None
+            return None, valid
         try:
             out.append(unpack.decompress(raw))
         except zlib.error:
-            return None
+            return None, valid or _begins_as_record(window.read(at, 4096))
         pos += len(raw)
         if not valid:
             head = b"".join(out)[:len(VERSION)]
             if not head.startswith(b"WARC/1."[:len(head)]):
-                return None
+                return None, False
             valid = len(head) >= 7
         step = BLOCK
-    return (b"".join(out), pos - len(unpack.unused_data)) if valid else None
+    return ((b"".join(out), pos - len(unpack.unused_data)) if valid else None), valid
 
 
-def parse_record(content: bytes) -> dict | None:
-    """Header fields (lower-case names), version and block of a record; None if it has no whole header."""
-    head, found, rest = content.partition(b"\r\n\r\n")
-    if not found:
+def parse_record(content: bytes, at: int = 0) -> dict | None:
+    """Header fields (lower-case names), version and block of the record at ``at``, and where it ends;
+    None if there is no whole one."""
+    split = content.find(b"\r\n\r\n", at)
+    if split < 0:
         return None
-    lines = head.decode("utf-8", "replace").split("\r\n")
+    lines = content[at:split].decode("utf-8", "replace").split("\r\n")
     fields = {}
     for line in lines[1:]:
         name, _, value = line.partition(":")
         fields[name.strip().lower()] = value.strip()
-    if not fields.get("content-length", "").isdigit():
+    if not lines[0].startswith("WARC/1.") or not fields.get("content-length", "").isdigit():
+        return None
+    end = split + 4 + int(fields["content-length"])
+    if end > len(content):
         return None
-    return {"version": lines[0], "fields": fields, "block": rest[:int(fields["content-length"])]}
+    return {"version": lines[0], "fields": fields, "block": content[split + 4:end], "end": end}
+
+
+def parse_records(content: bytes) -> Iterator[dict]:
+    """The records of a member, one after the other; a record of type ``damaged`` for a rest that holds none."""
+    at = 0
+    while at < len(content):
+        record = parse_record(content, at)
+        if record is None:
+            yield DAMAGED
+            return
+        yield record
+        at = record["end"]
+        while content[at:at + 1] in (b"\r", b"\n"):
+            at += 1
 
 
 def records_in_range(f, size: int, start: int, end: int) -> Iterator[tuple[int, dict]]:
-    """(place, record) of the records that start in [start, end) of an open file."""
+    """(place, record) of the records whose members start in [start, end) of an open file.
+
+    A member that begins as a WARC record and does not decode to its end is one record of type ``damaged``;
+    the search goes on behind its first byte.
+    """
     window, at = _Window(f, size), start
     end = min(end, size)
     while at < end:
         at = window.find(MAGIC, at, end)
         if at < 0:
             return
-        member = _member(window, at)
-        record = parse_record(member[0]) if member else None
-        if record is None:
-            at += 1  # the magic inside other data
+        member, looks_valid = _member(window, at)
+        if member is None:
+            if looks_valid:
+                yield at, DAMAGED
+            at += 1  # the magic inside other data, or of a broken member
             continue
-        yield at, record
+        for record in parse_records(member[0]):
+            yield at, record
         at = member[1]
 
 

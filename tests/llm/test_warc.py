@@ -57,10 +57,34 @@ def test_every_split_owns_each_record_once():
         assert found == [(p, f"<urn:page:{i}>") for i, p in enumerate(places)]
 
 
-def test_truncated_record_is_left_out():
+def found_in(raw, step=1 << 30):
+    return [(at, r["fields"]["warc-type"], r["fields"].get("warc-record-id"), r["block"]) for s in range(0, len(raw), step)
+            for at, r in warc.records_in_range(io.BytesIO(raw), len(raw), s, s + step)]
+
+
+def test_truncated_record_is_reported():
     a, b = warc.record_bytes(1, "u", b"one"), warc.record_bytes(2, "u", b"two" * 1000)
-    raw = a + b[:-20]
-    assert [r["fields"]["warc-record-id"] for _, r in warc.records_in_range(io.BytesIO(raw), len(raw), 0, len(raw))] == ["<urn:page:1>"]
+    got = found_in(a + b[:-20])
+    assert [g[:3] for g in got] == [(0, "response", "<urn:page:1>"), (len(a), "damaged", None)]
+
+
+def test_broken_member_does_not_hide_the_next():
+    a, b = warc.record_bytes(1, "u", b"one" * 5000), warc.record_bytes(2, "u", b"two")
+    broken = bytearray(a)
+    broken[-8] ^= 1  # the check sum
+    for step in (1 << 30, 50):
+        assert [g[:3] for g in found_in(bytes(broken) + b, step)] == [(0, "damaged", None), (len(a), "response", "<urn:page:2>")]
+
+
+def test_all_records_of_one_member():
+    plain = [gzip.decompress(warc.record_bytes(i, "u", b"\r\n" * i + b"x" * (10 ** i))) for i in range(5)]
+    raw = gzip.compress(b"".join(plain)) + warc.record_bytes(9, "u", b"nine")
+    for step in (1 << 30, 97):
+        got = found_in(raw, step)
+        assert [g[2] for g in got] == [f"<urn:page:{i}>" for i in (0, 1, 2, 3, 4, 9)]
+        assert [g[3].partition(b"\r\n\r\n")[2] for g in got[:5]] == [b"\r\n" * i + b"x" * (10 ** i) for i in range(5)]
+    cut = gzip.compress(b"".join(plain)[:-3000])
+    assert [g[1] for g in found_in(cut)] == ["response"] * 4 + ["damaged"]
 
 
 def test_read_archives_of_a_folder(spark):
