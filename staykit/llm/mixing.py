@@ -26,6 +26,7 @@ CHUNK = 16
 # the step of the uniform numbers, so none of them lies beyond
 PLACES = 96
 BROADCAST_SOURCES = 10_000
+PARTS = 1 << 40  # steps of a weight, of the largest one
 
 
 def uniform(*parts) -> Column:
@@ -51,7 +52,8 @@ def source_rates(docs: DataFrame, source: str = "source", weights: dict | None =
 
     Shares are in proportion to ``weights`` (sources not named get none) or, by
     default, to the source's documents to the power ``alpha``.  ``total`` is the
-    expected size of the output (by default that of the input).
+    expected size of the output (by default that of the input).  However small a
+    positive weight is, its source has a rate (at least 2^-40 of the largest one's share).
     """
     spark = docs.sparkSession
     counts = docs.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("n"))
@@ -59,10 +61,18 @@ def source_rates(docs: DataFrame, source: str = "source", weights: dict | None =
         weight = F.pow(F.col("n"), F.lit(float(alpha)))
     else:
         pairs = [x for s, w in weights.items() for x in (F.lit(s), F.lit(float(w)))]
-        weight = F.coalesce(F.create_map(*pairs)[F.col("source")], F.lit(0.0))
-    # whole millionths, so that sums don't depend on their order
-    counts = written(spark, counts.withColumn("w", F.round(weight * 1_000_000).cast("long")), "sources")
-    n, w = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0))).first()
+        weight = F.coalesce(F.create_map(*pairs)[F.col("source")], F.lit(0.0)) if pairs else F.lit(0.0)
+    counts = written(spark, counts.withColumn("weight", weight), "sources")
+    # whole numbers, so that sums don't depend on their order: millionths of weights of 1 or more, else
+    # parts of the largest weight, and one part at least for a source that has a weight at all
+    if weights is None and alpha >= 0:
+        whole = F.round(F.col("weight") * 1_000_000).cast("long")
+    else:
+        largest = counts.agg(F.max("weight")).first()[0] or 1.0
+        whole = F.when(F.col("weight") > 0, F.greatest(F.round(F.col("weight") / largest * float(PARTS)).cast("long"), F.lit(1))
+                       ).otherwise(F.lit(0)).cast("long")
+    counts = counts.withColumn("w", whole)
+    n, w = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("w").cast("decimal(20,0)")), F.lit(0))).first()
     target = float(n if total is None else total)
     return counts.select("source", "n", (F.lit(target) * F.col("w") / F.lit(float(max(w, 1))) / F.col("n")).alias("rate"))
 

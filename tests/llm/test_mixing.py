@@ -94,3 +94,21 @@ def test_order_is_shuffled_and_reproducible(spark):
 def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     assert not re.search("Python|Arrow|Pandas|ExistingRDD", mixing.mix_sources(docs)._jdf.queryExecution().toString())
+
+
+def test_small_weights_keep_their_source(spark):
+    rows = [(100 * s + i, f"s{s}") for s in range(20) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    weights = {"s0": 4e-7, **{f"s{s}": 1e-6 for s in range(1, 20)}}
+    rates = {r.source: r.rate for r in mixing.source_rates(docs, weights=weights, total=5000).collect()}
+    assert rates["s0"] * 20 == pytest.approx(5000 * 0.4 / 19.4) and rates["s3"] * 20 == pytest.approx(5000 / 19.4)
+    n = Counter(r.source for r in mixing.mix_sources(docs, weights=weights, total=5000).collect())
+    assert 60 < n["s0"] < 150
+
+
+def test_any_positive_weight_gives_a_rate(spark):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "doc_id long, source string")
+    rates = {r.source: r.rate for r in mixing.source_rates(docs, weights={"a": 1.0, "b": 1e-300, "c": 0}).collect()}
+    assert rates["a"] == pytest.approx(3.0) and 0 < rates["b"] < 1e-11 and rates["c"] == 0
+    assert all(r.rate == 0 for r in mixing.source_rates(docs, weights={}).collect())
+    assert all(r.rate == pytest.approx(1.0) for r in mixing.source_rates(docs, alpha=-30).collect())
