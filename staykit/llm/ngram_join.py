@@ -38,12 +38,16 @@ from .components import apart, connected_components
 
 
 def bands_and_rows(threshold: float, recall: float, max_bands: int = 24) -> tuple[int, int]:
-    """The most rows a band for which at most ``max_bands`` bands reach the recall at the threshold."""
+    """The most rows a band for which at most ``max_bands`` bands reach the recall at the threshold.
+
+    Where not even bands of one row reach it so, they are taken in the number needed."""
+    if not (0 < threshold <= 1 and 0 < recall < 1):
+        raise ValueError(f"threshold {threshold} must lie in (0, 1], recall {recall} in (0, 1)")
     best = (1, 1)
     for rows in range(1, 33):
         miss = 1 - threshold ** rows
         bands = max(1, math.ceil(math.log(1 - recall) / math.log(miss))) if miss > 0 else 1
-        if bands > max_bands:
+        if bands > max_bands and rows > 1:
             break
         best = (bands, rows)
     return best
@@ -79,9 +83,15 @@ def signatures(h: np.ndarray, begin: np.ndarray, bands: int, rows: int, seed: in
     return k1.view(np.int64), k2.view(np.int64), out.view(np.int64)
 
 
+def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, t (the text) and th, a hash of it: ids may repeat or be null, so a document is known by both."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"), F.xxhash64(text).alias("th"))
+
+
 def document_signatures(docs: DataFrame, width: int, bands: int, rows: int, seed: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, k1, k2, bands) of each document; no bands for one without words."""
-    table = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
+    """(id, th, k1, k2, bands) of each document, th a hash of its text; no bands for one without words."""
+    table = identified(docs, id_col, text_col).select("id", "t", "th")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,10 +106,11 @@ def document_signatures(docs: DataFrame, width: int, bands: int, rows: int, seed
                     k1[some], k2[some], found = signatures(h, begin, bands, rows, seed)
                     values = found.ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i:j], pa.array(k1), pa.array(k2), pa.ListArray.from_arrays(pa.array(lists), pa.array(values))],
-                    ["id", "k1", "k2", "bands"])
+                    [batch.column(0)[i:j], batch.column(2)[i:j], pa.array(k1), pa.array(k2),
+                     pa.ListArray.from_arrays(pa.array(lists), pa.array(values))],
+                    ["id", "th", "k1", "k2", "bands"])
 
-    return table.mapInArrow(run, "id long, k1 long, k2 long, bands array<long>")
+    return table.mapInArrow(run, "id long, th long, k1 long, k2 long, bands array<long>")
 
 
 # --- verification ----------------------------------------------------------
@@ -196,6 +207,14 @@ def _links(groups: DataFrame, width: int, threshold: float) -> DataFrame:
 def link_documents(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.999, block: int = 512,
                    seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The join's result: id, copy_id, class_id, n_links (see the module's text)."""
+    linked = linked_rows(docs, threshold, width, recall, block, seed, id_col, text_col)
+    return linked.select(F.col("id").alias(id_col), "copy_id", "class_id", "n_links")
+
+
+def linked_rows(docs: DataFrame, threshold: float = 0.8, width: int = 5, recall: float = 0.999, block: int = 512,
+                seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, th, copy_id, class_id, n_links, and whether the row is its class's first (``first_of_class``): that with the
+    least id (null last), of equal ids that with the least hash of the text."""
     spark = docs.sparkSession
     n_parts = shuffle_width(spark)
     bands, rows = bands_and_rows(threshold, recall)
@@ -203,7 +222,7 @@ def link_documents(docs: DataFrame, threshold: float = 0.8, width: int = 5, reca
 
     # one row a copy class
     classes = written(spark, sig.filter(F.size("bands") > 0).groupBy("k1", "k2").agg(
-        F.min("id").alias("rep"), F.count("*").alias("size"), F.any_value("bands").alias("bands")), "classes")
+        F.min(F.struct(F.col("id").isNull().alias("no"), "id", "th")).alias("rep"), F.count("*").alias("size"), F.any_value("bands").alias("bands")), "classes")
 
     # classes that share a band, linked to the least of their bucket
     in_bands = classes.select("k1", F.posexplode("bands").alias("band", "h")).select(
@@ -220,8 +239,8 @@ def link_documents(docs: DataFrame, threshold: float = 0.8, width: int = 5, reca
     members = members.join(sizes, F.col("component") == F.col("c")).drop("c")
     members = members.withColumn("t", F.ceil(F.col("n") / block).cast("int"))
     members = members.withColumn("own", F.pmod(F.xxhash64("k1", "k2"), F.col("t")).cast("int"))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    members = members.join(texts, F.col("rep").eqNullSafe(F.col("id"))).drop("id")
+    texts = identified(docs, id_col, text_col).withColumnRenamed("t", "text")
+    members = members.join(texts, F.col("rep.id").eqNullSafe(F.col("id")) & (F.col("rep.th") == F.col("th"))).drop("id", "th")
     pairs = members.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("t") - 1))).select(
         "component", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), "k1", "k2", "size",
         (F.col("own") > F.col("o")).alias("side"), "text")
@@ -236,26 +255,28 @@ def link_documents(docs: DataFrame, threshold: float = 0.8, width: int = 5, reca
     least = (per_class.filter("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
              .select(apart(F.col("component")).alias("c"), "least"))
     per_class = per_class.join(least, F.col("component") == F.col("c"), "left").select(
-        F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("rep").alias("copy_id"),
-        F.coalesce("least", "rep").alias("class_id"),
+        F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("rep.id").alias("copy_id"),
+        F.coalesce("least", "rep").alias("least"),
         (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"))
     has_words = F.size("bands") > 0
-    out = sig.select("id", "k1", "k2", has_words.alias("w")).join(
+    out = sig.select("id", "th", "k1", "k2", has_words.alias("w")).join(
         per_class, F.col("w") & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left")
-    return out.select(F.col("id").alias(id_col), F.coalesce("copy_id", "id").alias("copy_id"),
-                      F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    first = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("th") == F.col("least.th"))
+    return out.select("id", "th", F.coalesce("copy_id", "id").alias("copy_id"), F.coalesce("least.id", "id").alias("class_id"),
+                      F.coalesce("n_links", F.lit(0)).alias("n_links"), (~F.col("w") | F.coalesce(first, F.lit(False))).alias("first_of_class"))
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each class: that with the least id (all columns kept).
 
+    Documents are known by id and text, so ids may repeat or be null (null comes last).
     Rows that repeat a document's id and text are one document.
     """
     names = docs.columns
-    rank, hashed, kept_id = (unused_name(docs, n) for n in ("rank_in_text", "hash_of_text", "kept_id"))
-    kept = (link_documents(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-            .select(F.col("doc_id").alias(kept_id)).distinct())
-    rows = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)), "left_semi")
-    rows = rows.withColumn(hashed, F.xxhash64("text"))
+    rank, hashed, kept_id, kept_text = (unused_name(docs, n) for n in ("rank_in_text", "hash_of_text", "kept_id", "kept_text"))
+    kept = (linked_rows(docs, **options).filter("first_of_class")
+            .select(F.col("id").alias(kept_id), F.col("th").alias(kept_text)).distinct())
+    rows = docs.withColumn(hashed, F.xxhash64(F.col("text").cast("string")))
+    rows = rows.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)) & (F.col(hashed) == F.col(kept_text)), "left_semi")
     once = Window.partitionBy("doc_id", hashed).orderBy(hashed)
     return rows.withColumn(rank, F.row_number().over(once)).filter(F.col(rank) == 1).select(*names)

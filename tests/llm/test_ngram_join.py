@@ -43,6 +43,15 @@ def test_bands_reach_the_recall():
         assert 1 - (1 - threshold ** rows) ** bands >= recall and bands <= 24
 
 
+def test_low_thresholds_take_the_bands_they_need():
+    for threshold, recall in ((0.2, 0.999), (0.05, 0.99), (1.0, 0.999), (0.3, 0.5)):
+        bands, rows = nj.bands_and_rows(threshold, recall)
+        assert 1 - (1 - threshold ** rows) ** bands >= recall
+    for threshold, recall in ((0, 0.9), (1.1, 0.9), (0.8, 1), (0.8, 0)):
+        with pytest.raises(ValueError):
+            nj.bands_and_rows(threshold, recall)
+
+
 @pytest.mark.parametrize("block", [2, 512])
 def test_table_against_all_pairs(sample, block):
     docs, rows = sample
@@ -100,3 +109,30 @@ def test_connected_components(spark):
     want = {n: find(n) for e in edges if e[0] != e[1] for n in e}
     got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
+
+
+def near(k, words=60):
+    """The k-th of near copies: texts of 60 words that differ in one."""
+    return " ".join([f"w{i}" for i in range(words)][:-1] + [f"last{k}"])
+
+
+@pytest.mark.parametrize("ids, want", [
+    ([None] * 6, 1),               # near copies without ids
+    ([1, 1, 0, 0, None, 1], 1),    # and with ids that repeat
+])
+def test_one_of_near_copies_stays_whatever_the_ids(spark, ids, want):
+    rows = [(i, near(k)) for k, i in enumerate(ids)]
+    other = [(1, "another text under an id that repeats"), (None, "another text without an id"), (None, ""), (None, None), (1, ""), (1, "")]
+    kept = nj.keep_one_of_each(spark.createDataFrame(rows + other, "doc_id long, text string"))
+    got = [tuple(r) for r in kept.collect()]
+    copies = [g for g in got if g[1] and g[1].startswith("w0")]
+    assert len(copies) == want and copies[0][0] == min((i for i in ids if i is not None), default=None)
+    assert sorted((g for g in got if g not in copies), key=repr) == sorted(set(other), key=repr)
+
+
+def test_many_classes_without_ids(spark):
+    rows = [(None, " ".join(f"g{g}w{i}" for i in range(40)) + f" end{k}") for g in range(50) for k in range(3)]
+    kept = nj.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.text.split()[0] for r in kept.collect()) == sorted(f"g{g}w0" for g in range(50))
+    links = nj.link_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(links) == 150 and {r.n_links for r in links} == {2} and {r.class_id for r in links} == {None}
