@@ -57,6 +57,6 @@ def test_stages_keep_the_columns_and_survive_odd_documents(spark, odd, nothing,
 
 
 def test_registry():
-    assert [k.split("_")[0] for k in REGISTRY] == [f"op{n}" for n in range(1, 11)]
+    assert [k.split("_")[0] for k in REGISTRY] == [f"op{n}" for n in range(1, 14)]
     assert set(ORACLE) <= set(REGISTRY)
     assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
