@@ -2,16 +2,18 @@
 
 Four kinds are marked: email, ip, card and phone.  The base spans come from
 patterns with checks (part sizes, Luhn digits, number of digits) over the whole
-text.  A bidirectional LSTM over characters with a CRF on top, trained in numpy
-on windows around the base spans of a bounded sample, adds spans that the
-patterns miss; base spans always stay.
-
-Every span of these kinds holds a digit or an ``@`` (an *anchor*), and the
-tagger is constrained to that.  So only windows around anchors are decoded:
-any other window decodes to no span.  Windows overlap by half; spans that touch
-an inner edge of their window are left to the neighbour, and those of all
-windows of a text are reconciled by the set of disjoint spans with the greatest
-total score (base spans come first).
+text.  A bidirectional LSTM over characters with a CRF on top adds spans that
+the patterns miss; base spans always stay.  It is trained in numpy on windows of
+a bounded sample: those around base spans, and those with a form that the
+patterns miss, or a look-alike, written into them (``pii_forms``).
+
+Every span holds an *anchor*: a digit, or in an address an at sign or a written
+"at" (in brackets, or with a "dot" after it).  The tagger is constrained to
+that, so only windows around anchors are decoded: any other window decodes to no
+span.  Windows overlap by half; a span that touches an inner edge of its window
+is left to the neighbour, or, where it is longer than a window's half, joined
+with the neighbour's part.  The spans of all windows of a text are reconciled by
+the set of disjoint spans with the greatest total score (base spans come first).
 
 Null texts are empty texts and have no spans.  Spans are [start, end) in code
 points.  Repeated rows give repeated rows; extra columns are ignored (or kept,
@@ -30,13 +32,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import pii_forms
 from .common import hash_cut, text_array
 
 KINDS = ("email", "ip", "card", "phone")  # in the order of the result (fixed values)
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 N_LABELS = len(LABELS)
 WINDOW, STEP = 96, 48
-MOST_SPAN = 44  # longer tagged spans are no personal data of these kinds
+AT = r"[@\uff20]|[\[({<] ?at ?[\])}>]|\bat (?=.{1,40}? dot)"
+_AT, _ANCHOR = re.compile(AT, re.I), re.compile(r"\d+|" + AT, re.I)
+_USER = re.compile(r"[\w.+%-]+ ?$")
 
 # --- base patterns ---------------------------------------------------------
 
@@ -45,6 +50,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 # a digit run is taken whole, from its start: a later start can't be the leftmost match
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+_SIXTEEN = re.compile(r"(?<![0-9])[0-9]{16}(?![0-9])")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 
@@ -211,7 +217,7 @@ def loss_and_gradient(p: dict, x: np.ndarray, y: np.ndarray) -> tuple[float, dic
     return float((z - gold).mean()), grad
 
 
-def train(windows: list[tuple[np.ndarray, np.ndarray]], hidden: int = 16, rounds: int = 120, batch: int = 48,
+def train(windows: list[tuple[np.ndarray, np.ndarray]], hidden: int = 24, rounds: int = 700, batch: int = 64,
           rate: float = 0.02, seed: int = 3) -> dict | None:
     """Model trained on (classes, labels) windows of WINDOW characters by Adam; None without windows."""
     if not windows:
@@ -252,6 +258,24 @@ def viterbi(e: np.ndarray, a: np.ndarray) -> np.ndarray:
     return path
 
 
+def posteriors(e: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Probability of each label at each place (T, B, labels), by scaled forward and backward passes."""
+    steps = len(e)
+    move = np.where(ALLOWED, np.exp(a.astype(np.float64)), 0.0)
+    local = np.exp(e.astype(np.float64) - e.max(axis=2, keepdims=True))
+    forward, backward = np.empty_like(local), np.ones_like(local)
+    forward[0] = local[0] * [not lab.startswith("I") for lab in LABELS]
+    forward[0] /= forward[0].sum(axis=1, keepdims=True)
+    for t in range(1, steps):
+        forward[t] = (forward[t - 1] @ move) * local[t]
+        forward[t] /= forward[t].sum(axis=1, keepdims=True)
+    for t in range(steps - 2, -1, -1):
+        backward[t] = (backward[t + 1] * local[t + 1]) @ move.T
+        backward[t] /= backward[t].sum(axis=1, keepdims=True)
+    both = forward * backward
+    return both / both.sum(axis=2, keepdims=True)
+
+
 # --- windows ---------------------------------------------------------------
 
 def window_starts(text: str, everywhere: bool = False) -> list[int]:
@@ -261,7 +285,7 @@ def window_starts(text: str, everywhere: bool = False) -> list[int]:
     if everywhere:
         return [k * STEP for k in range(last + 1)] if n else []
     found: set[int] = set()
-    for m in re.finditer(r"[\d@]+", text):
+    for m in _ANCHOR.finditer(text):
         lo = max(0, -(-(m.start() - WINDOW + 1) // STEP))
         found.update(range(min(lo, last), min((m.end() - 1) // STEP, last) + 1))
     return [k * STEP for k in sorted(found)]
@@ -278,11 +302,18 @@ def _labels_of(spans: list[tuple[int, int, int]], n: int) -> np.ndarray:
     return y
 
 
+def labelled(text: str) -> list[tuple[int, int, int]]:
+    """The base spans, and numbers of 16 digits: cards with a mistyped digit where the check fails."""
+    spans = base_spans(text)
+    return spans + [(2, *m.span()) for m in _SIXTEEN.finditer(text)
+                    if not any(a < m.end() and m.start() < b for _, a, b in spans)]
+
+
 def training_windows(texts: list[str], limit: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Up to ``limit`` windows with an anchor, labelled by the base spans."""
+    """Up to ``limit`` windows with an anchor, labelled by ``labelled``."""
     out = []
     for text in texts:
-        spans, x = base_spans(text), char_classes(text)
+        spans, x = labelled(text), char_classes(text)
         y = _labels_of(spans, len(text))
         for s in window_starts(text):
             if len(out) >= limit:
@@ -296,13 +327,61 @@ def training_windows(texts: list[str], limit: int) -> list[tuple[np.ndarray, np.
     return out
 
 
-def _has_anchor(kind: int, span: str) -> bool:
-    return "@" in span if kind == 0 else any(c.isdigit() for c in span)
+def planted_windows(texts: list[str], limit: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """``limit`` windows with a form or a decoy in them (fewer where a base span already covers the form)."""
+    rng, out = np.random.default_rng(seed), []
+    for text, kind, start, end in pii_forms.planted(texts, limit, seed):
+        spans = labelled(text)
+        if kind is not None:
+            if any(a < end and start < b for _, a, b in base_spans(text)):
+                continue
+            spans = [s for s in spans if s[2] <= start or end <= s[1]] + [(kind, start, end)]
+        x, y = char_classes(text), _labels_of(spans, len(text))
+        s = int(np.clip(start - rng.integers(4, WINDOW - 4), 0, max(0, len(text) - WINDOW)))
+        wx, wy = np.zeros(WINDOW, np.int64), np.zeros(WINDOW, np.int64)
+        wx[:len(x[s:s + WINDOW])], wy[:len(y[s:s + WINDOW])] = x[s:s + WINDOW], y[s:s + WINDOW]
+        if wy[0] and wy[0] % 2 == 0:
+            wy[0] -= 1
+        out.append((wx, wy))
+    return out
+
+
+def _has_anchor(kind: int, text: str, start: int, end: int) -> bool:
+    if kind == 0:
+        return bool(_AT.search(text, start, end))
+    return any(c.isdecimal() for c in text[start:end])
+
+
+def _trimmed(score: float, kind: int, a: int, b: int, text: str) -> tuple[float, int, int, int]:
+    """The span without closing punctuation; an address that begins with its at sign takes the word before it."""
+    while b - 1 > a and text[b - 1] in ".,;:!?":
+        b -= 1
+    if kind == 0 and _AT.match(text, a):
+        word = _USER.search(text[max(0, a - STEP):a])
+        a -= len(word.group()) if word else 0
+    return score, kind, a, b
+
+
+def _joined(parts: list[tuple[float, int, int, int, bool, bool]]) -> list[tuple[float, int, int, int]]:
+    """Spans over several windows: overlapping parts of a kind, whole at both ends and too long for one window's half.
+
+    Parts are (score, kind, start, end, cut at the left, cut at the right); the score is that of the weakest part."""
+    out, now = [], None
+    for score, kind, a, b, left, right in sorted(parts, key=lambda p: (p[1], p[2], p[3])):
+        if now and now[1] == kind and a <= now[3]:
+            now = [min(now[0], score), kind, now[2], max(b, now[3]), now[4], right if b >= now[3] else now[5]]
+        else:
+            now = [score, kind, a, b, left, right]
+        if not now[4] and not now[5] and now[3] - now[2] > STEP:
+            out.append(tuple(now[:4]))
+    return out
 
 
 def tagged_spans(p: dict, texts: list[str], everywhere: bool = False, at_once: int = 512) -> list[list[tuple[float, int, int, int]]]:
-    """(score, kind, start, end) of the spans in each text's windows, not yet reconciled."""
+    """(score, kind, start, end) of the spans in each text's windows, not yet reconciled; the score is the mean
+    log-odds of the span's labels."""
     out: list[list] = [[] for _ in texts]
+    cut: dict[int, list] = {}
     todo = [(k, s) for k, text in enumerate(texts) for s in window_starts(text, everywhere)]
     classes = {k: char_classes(texts[k]) for k in {k for k, _ in todo}}
     for i in range(0, len(todo), at_once):
@@ -313,11 +392,8 @@ def tagged_spans(p: dict, texts: list[str], everywhere: bool = False, at_once: i
             x[:len(w), c] = w
         e = emissions(p, x)
         path = viterbi(e, p["A"])
-        # how far the label at a place is ahead of the next best
-        rows = np.take_along_axis(e, path[:, :, None], 2)[:, :, 0]
-        e2 = e.copy()
-        np.put_along_axis(e2, path[:, :, None], -np.inf, 2)
-        lead = rows - e2.max(axis=2)
+        sure = np.take_along_axis(posteriors(e, p["A"]), path[:, :, None], 2)[:, :, 0].clip(1e-5, 1 - 1e-5)
+        lead = np.log(sure / (1 - sure))
         for c, (k, s) in enumerate(part):
             labels, text = path[:, c], texts[k]
             t, end = 0, min(WINDOW, len(text) - s)
@@ -328,10 +404,15 @@ def tagged_spans(p: dict, texts: list[str], everywhere: bool = False, at_once: i
                 kind, u = (labels[t] - 1) // 2, t + 1
                 while u < end and labels[u] == 2 * kind + 2:
                     u += 1
-                inner_edge = (t == 0 and s > 0) or (u == end and s + u < len(text))
-                if not inner_edge and u - t <= MOST_SPAN and _has_anchor(kind, text[s + t:s + u]):
-                    out[k].append((float(lead[t:u, c].mean()), int(kind), s + t, s + u))
+                left, right = t == 0 and s > 0, u == end and s + u < len(text)
+                span = float(lead[t:u, c].mean()), int(kind), s + t, s + u
+                if left or right:
+                    cut.setdefault(k, []).append((*span, left, right))
+                elif _has_anchor(kind, text, s + t, s + u):
+                    out[k].append(_trimmed(*span, text))
                 t = u
+    for k, parts in cut.items():
+        out[k] += [_trimmed(*s, texts[k]) for s in _joined(parts) if _has_anchor(s[1], texts[k], s[2], s[3])]
     return out
 
 
@@ -374,7 +455,7 @@ def reconcile(spans: list[tuple[float, int, int, int]], base: list[tuple[int, in
     return sorted([*base, *chosen])
 
 
-def find_spans(texts: list[str], p: dict | None, least_score: float = 2.0) -> list[tuple[list, list]]:
+def find_spans(texts: list[str], p: dict | None, least_score: float = 1.0) -> list[tuple[list, list]]:
     """(base spans, all spans) of each text."""
     base = [base_spans(t) for t in texts]
     if p is None:
@@ -384,17 +465,18 @@ def find_spans(texts: list[str], p: dict | None, least_score: float = 2.0) -> li
 
 # --- Spark -----------------------------------------------------------------
 
-def fit(docs: DataFrame, fit_docs: int = 600, fit_chars: int = 20_000, fit_windows: int = 1_500, text_col: str = "text",
-        seed: int = 5, **options) -> dict | None:
-    """The tagger, trained on at most ``fit_docs`` documents of up to ``fit_chars`` characters with an
-    anchor, by least hash of the text."""
+def fit(docs: DataFrame, fit_docs: int = 600, fit_chars: int = 20_000, fit_windows: int = 1_500,
+        planted: int = 6_000, text_col: str = "text", seed: int = 5, **options) -> dict | None:
+    """The tagger, trained on at most ``fit_docs`` different texts of up to ``fit_chars`` characters with an
+    anchor, by least hash of the text: ``fit_windows`` of their windows as they are, ``planted`` with a form in them."""
     text = F.col(text_col).cast("string")
-    rows = (docs.select(text.alias("t")).filter(F.col("t").isNotNull() & (F.length("t") <= fit_chars) & F.col("t").rlike("[0-9@]"))
+    rows = (docs.select(text.alias("t")).filter(F.col("t").isNotNull() & (F.length("t") <= fit_chars) & F.col("t").rlike(r"(?i)\p{Nd}|" + AT))
             .select(F.xxhash64(F.lit(seed), "t").alias("h"), "t"))
-    rows = rows.filter(F.col("h") <= hash_cut(fit_docs, rows.count()))
+    different = rows.agg(F.approx_count_distinct("h")).first()[0]
+    rows = rows.filter(F.col("h") <= hash_cut(fit_docs, different))
     rows = rows.groupBy("h").agg(F.min("t").alias("t")).orderBy("h").limit(fit_docs).collect()
     texts = list(dict.fromkeys(r.t for r in rows))
-    return train(training_windows(texts, fit_windows), **options)
+    return train(training_windows(texts, fit_windows) + planted_windows(texts, planted, seed), **options)
 
 
 def _digest(spans: list[tuple[int, int, int]]) -> str:

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import re
 
 import numpy as np
@@ -6,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from staykit.llm import pii
+from staykit.llm import pii, pii_forms
 
 from text_cases import ODD
 
@@ -79,6 +80,67 @@ def test_windows_without_anchor_hold_no_span(spark, model):
     assert [{s[1:] for s in f} for f in some] == [{s[1:] for s in f} for f in every]
 
 
+def test_tagger_adds_forms_that_the_patterns_miss(spark, model):
+    """Forms written into texts that were not in the sample, by another seed; counted after reconciling."""
+    seen = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text")
+    texts = sorted(r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text")
+                   .filter("text is not null").join(seen, "text", "left_anti").collect())
+    assert len(texts) > 300
+    found = [0] * 4
+    total, right, added = [0] * 4, 0, 0
+    for (text, kind, a, b), (base, spans) in zip(forms := pii_forms.planted(texts, 2500, 77),
+                                                 pii.find_spans([t for t, *_ in forms], model)):
+        if kind is not None and any(c < b and a < d for _, c, d in base):
+            continue
+        assert set(base) <= set(spans)
+        new = set(spans) - set(pii.labelled(text))
+        if kind is not None:
+            total[kind] += 1
+            found[kind] += (kind, a, b) in spans
+            new.add((kind, a, b)) if (kind, a, b) in spans else None
+        added += len(new)
+        right += (kind, a, b) in new
+    assert min(total) > 100 and all(f / t > 0.85 for f, t in zip(found, total)), (found, total)
+    assert right / added > 0.95
+
+
+def test_clean_texts_get_no_added_span(spark, model):
+    """Texts of the table whose only figures are versions and the like stay as they are."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    clean = [t for t in texts if t and not pii.labelled(t)]
+    assert len(clean) > 500
+    assert sum(bool(spans) for _, spans in pii.find_spans(clean, model)) <= 0.005 * len(clean)
+
+
+def test_plain_variants_are_found(model):
+    for text, kind, span in (("call (555) 123-4567 now", 3, "(555) 123-4567"), ("ring 020 7946 0018 today", 3, "020 7946 0018"),
+                             ("write to jane.doe(at)example.com soon", 0, "jane.doe(at)example.com"),
+                             ("write to jane at example dot com soon", 0, "jane at example dot com"),
+                             ("the card 4111-1111-1111-1112 was used", 2, "4111-1111-1111-1112"),
+                             ("host 10[.]20[.]30[.]40 is down", 1, "10[.]20[.]30[.]40")):
+        at = text.index(span)
+        assert pii.find_spans([text], model)[0] == ([], [(kind, at, at + len(span))]), text
+
+
+def test_posteriors():
+    rng = np.random.default_rng(4)
+    e, a = rng.standard_normal((4, 2, pii.N_LABELS)), rng.standard_normal((pii.N_LABELS, pii.N_LABELS))
+    start = [not lab.startswith("I") for lab in pii.LABELS]
+    for b in range(2):
+        want = np.zeros((4, pii.N_LABELS))
+        for path in itertools.product(range(pii.N_LABELS), repeat=4):
+            if start[path[0]] and all(pii.ALLOWED[i, j] for i, j in zip(path, path[1:])):
+                weight = np.exp(sum(e[t, b, k] for t, k in enumerate(path)) + sum(a[i, j] for i, j in zip(path, path[1:])))
+                want[range(4), path] += weight
+        assert pii.posteriors(e, a)[:, b] == pytest.approx(want / want.sum(axis=1, keepdims=True))
+
+
+def test_long_spans_are_joined_over_windows():
+    parts = [(4.0, 0, 40, 96, False, True), (3.0, 0, 48, 144, True, True), (5.0, 0, 96, 150, True, False),
+             (2.0, 1, 300, 310, False, True), (9.0, 0, 500, 540, True, False)]
+    assert pii._joined(parts) == [(3.0, 0, 40, 150)]
+
+
 def test_reconciling_takes_the_best_disjoint_spans():
     base = [(0, 10, 20)]
     spans = [(3.0, 1, 0, 5), (3.5, 1, 4, 9), (9.0, 2, 15, 25), (3.0, 3, 30, 40), (2.9, 3, 28, 33), (2.9, 3, 34, 44), (0.1, 2, 50, 60),
