@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _FIRST = "__first"
+WORDS = 1 << 20  # of 64 bits each, see may_be_held
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -37,24 +38,44 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return out.select(*[F.col(c) if c in keys else F.col(_FIRST)[c].alias(c) for c in df.columns])
 
 
+def may_be_held(df: DataFrame, held: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
+    """``df`` with a flag: false only if the key of a row is none of ``held``.
+
+    The keys of ``held`` are hashed into ``WORDS`` words of 64 bits, which are broadcast:
+    at most some 30 MB, whatever the number of keys.  So rows can be told apart without
+    a shuffle; the few with the flag (more of them as the bits fill up) are then looked at
+    exactly.  NULL keys are hashed like values.
+    """
+    hashed = F.xxhash64(*[F.col(k) for k in keys])
+    place = F.pmod(F.call_function("shiftright", hashed, F.lit(6)), F.lit(WORDS))
+    bit = hashed.bitwiseAND(F.lit(63)).cast("int")
+    words = (held.select(place.alias("__word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("__bit"))
+             .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
+    flag = F.coalesce(F.call_function("shiftright", F.col("__bits"), bit).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return (df.withColumn("__word", place).join(F.broadcast(words), "__word", "left")
+            .withColumn(alias, flag).select(*df.columns, alias))
+
+
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys held by more than one row (NULL equals NULL)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
+
+
 def first_per_key_split(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """``first_per_key`` of a written table whose keys are nearly all unique.
 
     The aggregate of ``first_per_key`` sorts whole rows, which is waste where few
     keys have more than one.  Here the keys alone are counted (a hash aggregate on
-    narrow rows); rows of unique keys pass through an anti join with the keys held
-    more than once, and only rows of the latter are reduced.  Spark broadcasts
-    those keys when they are measured as small, so wide rows are not shuffled
-    either; a key that holds a third of the rows is combined map-side as before.
+    narrow rows); rows whose key is surely unique (see :func:`may_be_held`) pass
+    through, and only the others are reduced.  So wide rows are not shuffled, however
+    many keys are repeated (until they fill the bits, when all rows are reduced); a
+    key that holds a third of the rows is combined map-side as before.
     The frame is read three times (the first time its keys only), so it should be a
     table, not a long computation.  NULL keys are equal to each other, as in grouping.
     """
-    keys = list(keys)
-    names = [f"__{k}" for k in keys]
-    several = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
-               .select(*[F.col(k).alias(n) for k, n in zip(keys, names)]))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
-    return df.join(several, same, "left_anti").unionByName(first_per_key(df.join(several, same, "left_semi"), keys, order))
+    marked = may_be_held(df, repeated_keys(df, keys), keys, "__may")
+    return (marked.filter(~F.col("__may")).drop("__may")
+            .unionByName(first_per_key(marked.filter("__may").drop("__may"), keys, order)))
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str],

@@ -84,20 +84,19 @@ def _location(spark, d):
     return materialized(spark, d, "location", lambda: fx.locality_lookup(spark, d))
 
 
-def _build_star(spark, d):
+def _star_inputs(spark, d):
     raw, loc = _raw(spark, d), _location(spark, d)
-    moved = materialized(spark, d, "moved", lambda: moved_ids(raw))
-    return build_fact(raw, loc, moved), build_owners(raw, loc, moved)
+    return raw, loc, materialized(spark, d, "moved", lambda: moved_ids(raw))
 
 
-def _star(spark, d):
-    fact = materialized(spark, d, "fact", lambda: _build_star(spark, d)[0])
-    owners = materialized(spark, d, "owners", lambda: _build_star(spark, d)[1])
-    return fact, owners
+def _fact(spark, d):
+    return materialized(spark, d, "fact", lambda: build_fact(*_star_inputs(spark, d)))
 
 
-def _fact(spark, d):
-    return _star(spark, d)[0]
+def _star(spark, d):
+    fact = _fact(spark, d)
+    owners = materialized(spark, d, "owners", lambda: build_owners(*_star_inputs(spark, d)))
+    return fact, owners
 
 
 def _census_parts(spark, d):

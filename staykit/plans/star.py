@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import host_city, price_mixed_format, snapshot_date, snapshot_month, snapshot_year
-from ..operators.keys import first_per_key, first_per_key_split
+from ..functions.clean import host_city, price_mixed_format, snapshot_date
+from ..operators.keys import first_per_key, first_per_key_split, may_be_held, repeated_keys
 from ..operators.listings import exclude_moved, lookup_region, moved_ids
 from ..schemas import (CENSUS_AGE_55_PLUS, CENSUS_AGE_UNDER_55, CENSUS_COLUMNS, CENSUS_KEY,
                        DEFAULT_HOST_REGION, FACT_COLUMNS, FACT_KEY, OWNER_COLUMNS)
@@ -29,18 +29,29 @@ def build_fact(raw: DataFrame, location: DataFrame, moved: DataFrame | None = No
     in either text regime; year and month from the snapshot file name.  A
     key met in two files keeps the row of the earlier snapshot date, then of the
     first file name.
+
+    ``raw`` should be a written table.  Rows whose listing surely never moved and whose
+    key is surely unique (see :func:`may_be_held`) pass without a shuffle; only the
+    others meet the moved listings and are reduced by key.
     """
-    kept = exclude_moved(raw, moved)
-    kept = lookup_region(kept, "neighbourhood_cleansed", location, trim=False)
-    rows = kept.select(
-        "filename", "id", "host_id", "neighbourhood_cleansed",
-        price_mixed_format("price").alias("price"), "room_type", "property_type",
-        "accommodates", "beds", "minimum_nights", "maximum_nights", "availability_30",
-        "has_availability", "number_of_reviews", "calendar_last_scraped",
-        snapshot_month("filename").alias("month"), snapshot_year("filename").alias("year"),
-        "lga_code", "review_scores_rating")
-    rows = rows.withColumn("_date", snapshot_date("filename"))
-    return first_per_key(rows, FACT_KEY, order=["_date", "filename"]).select(*FACT_COLUMNS)
+    moved = moved_ids(raw) if moved is None else moved
+    dated = raw.select("*", snapshot_date("filename").alias("_date")).select(
+        "*", F.month("_date").cast("int").alias("month"), F.year("_date").cast("int").alias("year"))
+
+    def rows(part: DataFrame) -> DataFrame:
+        placed = lookup_region(part, "neighbourhood_cleansed", location, trim=False)
+        return placed.select(
+            "filename", "id", "host_id", "neighbourhood_cleansed",
+            price_mixed_format("price").alias("price"), "room_type", "property_type",
+            "accommodates", "beds", "minimum_nights", "maximum_nights", "availability_30",
+            "has_availability", "number_of_reviews", "calendar_last_scraped",
+            "month", "year", "lga_code", "review_scores_rating", "_date")
+
+    marked = may_be_held(dated, repeated_keys(dated, FACT_KEY), FACT_KEY, "_repeated")
+    marked = may_be_held(marked, moved.select("id"), ["id"], "_moved")
+    passed, doubtful = marked.filter("not (_repeated or _moved)"), marked.filter("_repeated or _moved")
+    kept = first_per_key(rows(exclude_moved(doubtful, moved)), FACT_KEY, order=["_date", "filename"])
+    return rows(passed).select(*FACT_COLUMNS).unionByName(kept.select(*FACT_COLUMNS))
 
 
 def host_listing_count(kept: DataFrame) -> DataFrame:

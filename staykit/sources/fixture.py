@@ -90,11 +90,12 @@ def listing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = t("part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
     cn = t("nation").select("n_nationkey", "n_name").alias("cn")
     sn = t("nation").select("n_nationkey", "n_name").alias("sn")
-    j = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(c, F.col("o_custkey") == F.col("c_custkey"))
-         .join(cn, F.col("c_nationkey") == F.col("cn.n_nationkey"))
-         .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
-         .join(sn, F.col("s_nationkey") == F.col("sn.n_nationkey"))
+    # the small tables meet first, so that lines are shuffled for orders and parts only
+    placed = (o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+              .join(cn, F.col("c_nationkey") == F.col("cn.n_nationkey")))
+    hosts = s.join(sn, F.col("s_nationkey") == F.col("sn.n_nationkey"))
+    j = (li.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+         .join(hosts, F.col("l_suppkey") == F.col("s_suppkey"))
          .join(p, F.col("l_partkey") == F.col("p_partkey")))
     cols = []
     for field in RAW_LISTING_SCHEMA.fields:
