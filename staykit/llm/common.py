@@ -218,3 +218,15 @@ class ChunkIds:
         new = list(chunks.difference(self.known))
         self.passing = new[max(0, self.limit - len(self.known)):]
         self.known.update(zip(new, self.encode_many(new)))
+
+    def ids(self, chunks: list[str], longest: int = 64) -> list[bytes]:
+        """The ids of distinct ``chunks``, in their order; of new ones, those of up to ``longest`` characters are kept."""
+        out = list(map(self.known.get, chunks))
+        at = [k for k, b in enumerate(out) if b is None]
+        new = [chunks[k] for k in at]
+        got = self.encode_many(new)
+        for k, b in zip(at, got):
+            out[k] = b
+        kept = [(c, b) for c, b in zip(new, got) if len(c) <= longest]
+        self.known.update(kept[:max(0, self.limit - len(self.known))])
+        return out

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -55,9 +56,9 @@ class WordEncoder:
     """The library's ids of whole texts, recurring words looked up.
 
     A byte-level tokenizer of this kind always cuts before a single space
-    between two other characters, so a text is a row of words with one space
-    before each; they are encoded together in one call and cut at the ids that
-    begin with a space.  Other texts go to the library whole, also those that hold the
+    between two other characters, and around a single line feed there, so a text is a row of
+    words with one space or line feed before each; new ones are encoded together in one call and
+    cut at the ids that begin with a space.  Other texts go to the library whole, also those that hold the
     string of a special token, which the library takes as that token (as ordinary
     text with ``plain_specials``).
     """
@@ -80,51 +81,122 @@ class WordEncoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
-        # a letter before punctuation always ends a token, so words are encoded without their tails
-        plan, need = [], {}
-        for w in words:
-            core = w.rstrip(TAIL)
-            if len(core) == len(w) or not core or not core[-1].isalpha():
-                core = w
-            ids = self.words.known.get(core)
-            if ids is None:
-                need[core] = None
-            plan.append((core, w[len(core):], ids))
-        order = list(need)
+        # a word has a space before it, unless it begins with a line feed
+        lines = [w for w in words if w[0] == "\n"]
+        out = dict(zip(lines, self._whole(lines)))
+        order = [w for w in words if w[0] != "\n"] if lines else words
         for i in range(0, len(order), 256):
             part = order[i:i + 256]
             raw = self._whole([" " + " ".join(part)])[0]
             cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(raw, "<u4")])).tolist()
             if len(cuts) == len(part) and cuts[0] == 0:
-                need.update(zip(part, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)]))))
+                out.update(zip(part, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)]))))
             else:
-                need.update(zip(part, self._whole([" " + w for w in part])))
-        tails = {t for _, t, _ in plan}.difference(self.tails)
-        self.tails.update(zip(tails, self._whole(list(tails))))
-        return [(ids or need[core]) + self.tails[tail] for core, tail, ids in plan]
+                out.update(zip(part, self._whole([" " + w for w in part])))
+        return list(map(out.__getitem__, words))
+
+    def _word_ids(self, words: pa.Array) -> "Runs":
+        """Ids of distinct words, each with the space or line feed before it."""
+        # a letter before punctuation always ends a token, so words are encoded without their tails
+        cores = pc.utf8_rtrim(words, TAIL)
+        cut = _flags(cores, -1, str.isalpha) & (pc.binary_length(cores).to_numpy() < pc.binary_length(words).to_numpy())
+        cores = pc.if_else(pa.array(cut), cores, words).dictionary_encode()
+        names, core = _strings(cores.dictionary), cores.indices.to_numpy()
+        ids = self.words.ids(names)
+        at = np.flatnonzero(cut)
+        tails = [w[len(names[k]):] for w, k in zip(_strings(words.take(pa.array(at))), core[at].tolist())]
+        number = {t: len(ids) + 1 + k for k, t in enumerate(dict.fromkeys(tails))}
+        new = [t for t in number if t not in self.tails]
+        self.tails.update(zip(new, self._whole(new)))
+        pairs = np.full((len(words), 2), len(ids))  # the ids of a core, then those of its tail (or none)
+        pairs[:, 0] = core
+        pairs[at, 1] = np.fromiter(map(number.__getitem__, tails), np.int64, len(at))
+        runs = Runs.of([*ids, b"", *map(self.tails.__getitem__, number)])
+        return Runs(runs.take(pairs.ravel()), runs.size[pairs].sum(axis=1))
+
+    def encode(self, texts: pa.Array) -> "Runs":
+        """Ids of all texts (large strings, none null)."""
+        n = len(texts)
+        if not n:
+            return Runs.of([])
+        spaced = pc.replace_substring(texts, "\n", " \n")
+        for s in self.specials:
+            spaced = pc.if_else(pc.match_substring(texts, s), "", spaced)
+        parts = pc.split_pattern(spaced, " ")
+        begin = parts.offsets.to_numpy().astype(np.int64)
+        begin -= begin[0]
+        coded = parts.flatten().dictionary_encode()
+        words, piece = coded.dictionary, coded.indices.to_numpy()
+        # words with white space at an end would merge with their neighbour's: their texts are encoded whole
+        line = pc.starts_with(words, "\n").to_numpy(zero_copy_only=False)
+        odd = np.where(line, _flags(words, 1, _blank), _flags(words, 0, _blank)) | _flags(words, -1, _blank)
+        first = begin[:-1]
+        whole = np.logical_or.reduceat(odd[piece], first) if odd.any() else np.zeros(n, bool)
+        firsts = pc.if_else(pa.array(whole), texts, words.take(pa.array(piece[first])))
+        ids = self._word_ids(words.filter(pa.array(~odd)))
+        piece = (np.cumsum(~odd) - 1)[piece]
+        piece[first] = len(ids.size) + np.arange(n)
+        if whole.any():
+            keep = np.repeat(~whole, np.diff(begin))
+            keep[first] = True
+            piece, first = piece[keep], np.cumsum(keep)[first] - 1
+        ids = ids.followed_by(Runs.of(self._whole(firsts.to_pylist())))
+        return Runs(ids.take(piece), np.add.reduceat(ids.size[piece], first))
+
+    def ends_with(self, texts: pa.Array, end_id: int) -> "Runs":
+        """Ids of all texts, ``end_id`` after each."""
+        runs = self.encode(texts)
+        size = runs.size + 1
+        out = np.full(len(runs.ids) + len(size), end_id, "<u4")
+        body = np.ones(len(out), bool)
+        body[np.cumsum(size) - 1] = False
+        out[body] = runs.ids
+        return Runs(out, size)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian uint32 bytes."""
-        docs, words = [t.split(" ") if not any(s in t for s in self.specials) else None for t in texts], set()
-        for parts in docs:
-            words.update(parts or ())
-        # words with white space at an end would merge with their neighbour's; only new ones need a look
-        odd = {w for w in words.difference(self.words.known) if not _is_word(w)}
-        whole = []
-        for k, (text, parts) in enumerate(zip(texts, docs)):
-            if parts is None or odd and not odd.isdisjoint(parts):
-                docs[k] = None
-                whole.append(text)
-            else:
-                whole.append(parts[0])
-        self.words.learn(words - odd)
-        get = self.words.known.__getitem__
-        return [first + b"".join(map(get, parts[1:])) if parts else first
-                for first, parts in zip(self._whole(whole), docs)]
+        runs = self.encode(pa.array(texts, pa.large_string()))
+        return [runs.ids[i:i + n].tobytes() for i, n in zip(runs.begin.tolist(), runs.size.tolist())]
+
+
+class Runs:
+    """Sequences of token ids: all ids on end (little-endian uint32) and each one's size and place."""
+
+    def __init__(self, ids: np.ndarray, size: np.ndarray):
+        self.ids, self.size = ids, size
+        self.begin = np.cumsum(size) - size
+
+    @classmethod
+    def of(cls, raw: list[bytes]) -> "Runs":
+        return cls(np.frombuffer(b"".join(raw), "<u4"), np.fromiter(map(len, raw), np.int64, len(raw)) // 4)
+
+    def followed_by(self, other: "Runs") -> "Runs":
+        return Runs(np.concatenate((self.ids, other.ids)), np.concatenate((self.size, other.size)))
+
+    def take(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the sequences ``at``, on end."""
+        size = self.size[at]
+        place = np.repeat(self.begin[at] - (np.cumsum(size) - size), size)
+        place += np.arange(len(place))
+        return self.ids[place]
+
+
+def _blank(c: str) -> bool:
+    return c == "" or c.isspace()
+
+
+def _strings(words: pa.Array) -> list[str]:
+    """The words, none of which holds a space, as Python strings."""
+    if not len(words):
+        return []
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), pa.scalar(" ", words.type))
+    return joined[0].as_py().split(" ")
 
 
-def _is_word(w: str) -> bool:
-    return w != "" and not w[0].isspace() and not w[-1].isspace()
+def _flags(strings: pa.Array, at: int, test) -> np.ndarray:
+    """``test`` of the character at ``at`` of each string (-1: the last; none: an empty string)."""
+    chars = pc.utf8_slice_codeunits(strings, at, at + 1 or None).dictionary_encode()
+    return np.array([test(c) for c in chars.dictionary.to_pylist()], bool)[chars.indices.to_numpy()]
 
 
 def word_encoder(path: str, plain_specials: bool = False) -> WordEncoder:
@@ -321,32 +393,38 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
 
         part, shard = TaskContext.get().partitionId(), 0
         encoder = word_encoder(path, plain_specials)
-        end = np.array([end_id], "<u4").tobytes()
-        ids: list[int] = []
-        bodies: list[bytes] = []
+        ids: list[np.ndarray] = []
+        bodies: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal shard, held
-            tokens = np.frombuffer(b"".join(bodies), "<u4")
-            counts = np.array([len(b) // 4 for b in bodies], np.int64)
-            raw = shard_bytes(np.array(ids, np.int64), tokens, counts, encoder.n_ids)
+            doc_ids, tokens, counts = np.concatenate(ids), np.concatenate(bodies), np.concatenate(sizes)
+            raw = shard_bytes(doc_ids, tokens, counts, encoder.n_ids)
             name, _ = write_once(folder, f"tokens-{part:06d}-{shard:06d}", [raw])
-            out = pa.RecordBatch.from_pydict({"part": [part], "shard": [shard], "file": [name], "n_docs": [len(ids)],
+            out = pa.RecordBatch.from_pydict({"part": [part], "shard": [shard], "file": [name], "n_docs": [len(doc_ids)],
                                               "n_tokens": [len(tokens)]})
             shard, held = shard + 1, 0
             ids.clear()
             bodies.clear()
+            sizes.clear()
             return out
 
         for batch in batches:
             texts = text_array(batch.column(1))
-            doc_ids = batch.column(0).fill_null(NULL_ID).to_pylist()
+            doc_ids = np.array(batch.column(0).fill_null(NULL_ID))
             for i, j in byte_chunks(text_bytes(texts)[1], 4 << 20):
-                for doc_id, body in zip(doc_ids[i:j], encoder.encode_batch(texts[i:j].to_pylist())):
-                    ids.append(doc_id)
-                    bodies.append(body + end)
-                    held += len(body) // 4 + 1
+                runs = encoder.ends_with(texts[i:j], end_id)
+                ends = np.append(runs.begin, len(runs.ids))
+                k, n = 0, j - i
+                while k < n:  # a shard ends with the document that fills it
+                    m = min(n, max(k + 1, int(np.searchsorted(ends, ends[k] + shard_tokens - held))))
+                    ids.append(doc_ids[i + k:i + m])
+                    bodies.append(runs.ids[ends[k]:ends[m]])
+                    sizes.append(runs.size[k:m])
+                    held += int(ends[m] - ends[k])
+                    k = m
                     if held >= shard_tokens:
                         yield flush()
         if ids:

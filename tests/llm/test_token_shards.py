@@ -34,6 +34,35 @@ def test_strings_of_special_tokens(library):
     library.encode_special_tokens = False
 
 
+def test_line_feeds_between_words(library):
+    gaps = ["\n", "\n\n", " \n", "\n ", "\r\n", "\n\t", "\t\n", "\n\u3000", "\u3000\n", ".\n", "\n.", "\n's ", ",\n'", " ", "  ", "\n\n\n"]
+    ends = ["", "\n", " ", "x", "é.", "漢", "7", "!?"]
+    texts = [a + "word" + g + b for g in gaps for a in ends for b in ends] + [g.join(["one", "two.", "three"]) for g in gaps]
+    texts += ["", "\n", " ", "a\n<|endoftext|> b\nc", "x" * 300 + "\n" + "y" * 300 + " z"]
+    got = ts.WordEncoder(ts.tokenizer_path()).encode_batch(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_around_line_feeds_are_encoded_once(library):
+    encoder, sent = ts.WordEncoder(ts.tokenizer_path()), []
+    whole = encoder._whole
+    encoder._whole = lambda texts: sent.extend(texts) or whole(texts)
+    words = ["w" + chr(97 + k // 26) + chr(97 + k % 26) for k in range(60)]
+    texts = ["first " + " ".join(f"{a}.\n{b}" for b in words) + " end" for a in words]
+    got = encoder.encode_batch(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert sum(map(len, sent)) < sum(map(len, texts)) / 20
+
+
+def test_long_words_are_not_kept(library):
+    encoder = ts.WordEncoder(ts.tokenizer_path())
+    text = "a " + "漢" * 65 + " b " + "漢" * 64
+    for _ in range(2):
+        got = encoder.encode_batch([text])
+        assert np.frombuffer(got[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert "漢" * 64 in encoder.words.known and "漢" * 65 not in encoder.words.known
+
+
 def shard_of(docs, terminals):
     tokens = np.array([t for d in docs for t in d], np.uint32)
     return ts.Shard(ts.shard_bytes(np.arange(len(docs)), tokens, np.array([len(d) for d in docs]), terminals))
