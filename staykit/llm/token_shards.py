@@ -71,9 +71,10 @@ class WordEncoder:
         self.specials = [] if plain_specials else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.n_ids = self.tokenizer.get_vocab_size()
         vocab = self.tokenizer.get_vocab()
-        self.opens = np.zeros(self.n_ids, bool)
+        self.opens, self.feeds = np.zeros((2, self.n_ids), bool)
         for token, i in vocab.items():
             self.opens[i] = token.startswith("Ġ")  # the byte-level spelling of a space (fixed value)
+            self.feeds[i] = token.startswith("Ċ")  # of a line feed
         self.words = ChunkIds(self._encode_words, 1_400_000)
         self.tails: dict[str, bytes] = {}
 
@@ -82,17 +83,17 @@ class WordEncoder:
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         # a word has a space before it, unless it begins with a line feed
-        lines = [w for w in words if w[0] == "\n"]
-        out = dict(zip(lines, self._whole(lines)))
-        order = [w for w in words if w[0] != "\n"] if lines else words
-        for i in range(0, len(order), 256):
-            part = order[i:i + 256]
-            raw = self._whole([" " + " ".join(part)])[0]
-            cuts = (4 * np.flatnonzero(self.opens[np.frombuffer(raw, "<u4")])).tolist()
-            if len(cuts) == len(part) and cuts[0] == 0:
-                out.update(zip(part, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)]))))
-            else:
-                out.update(zip(part, self._whole([" " + w for w in part])))
+        out: dict[str, bytes] = {}
+        for before, opens in ((" ", self.opens), ("", self.feeds)):
+            order = [w for w in words if (w[0] == "\n") == (before == "")]
+            for i in range(0, len(order), 256):
+                part = order[i:i + 256]
+                raw = self._whole([before + before.join(part)])[0]
+                cuts = (4 * np.flatnonzero(opens[np.frombuffer(raw, "<u4")])).tolist()
+                if len(cuts) == len(part) and cuts[0] == 0:
+                    out.update(zip(part, map(raw.__getitem__, map(slice, cuts, [*cuts[1:], len(raw)]))))
+                else:
+                    out.update(zip(part, self._whole([before + w for w in part])))
         return list(map(out.__getitem__, words))
 
     def _word_ids(self, words: pa.Array) -> "Runs":
@@ -132,15 +133,17 @@ class WordEncoder:
         odd = np.where(line, _flags(words, 1, _blank), _flags(words, 0, _blank)) | _flags(words, -1, _blank)
         first = begin[:-1]
         whole = np.logical_or.reduceat(odd[piece], first) if odd.any() else np.zeros(n, bool)
-        firsts = pc.if_else(pa.array(whole), texts, words.take(pa.array(piece[first])))
+        # a text's first word is encoded as if after a line feed, whose id is left out
+        opening = ["\n" + w for w in words.take(pa.array(piece[first[~whole]])).to_pylist()]
+        heads = [b[4:] for b in self.words.ids(opening)] + self._whole(texts.filter(pa.array(whole)).to_pylist())
         ids = self._word_ids(words.filter(pa.array(~odd)))
         piece = (np.cumsum(~odd) - 1)[piece]
-        piece[first] = len(ids.size) + np.arange(n)
+        piece[first[np.argsort(whole, kind="stable")]] = len(ids.size) + np.arange(n)
         if whole.any():
             keep = np.repeat(~whole, np.diff(begin))
             keep[first] = True
             piece, first = piece[keep], np.cumsum(keep)[first] - 1
-        ids = ids.followed_by(Runs.of(self._whole(firsts.to_pylist())))
+        ids = ids.followed_by(Runs.of(heads))
         return Runs(ids.take(piece), np.add.reduceat(ids.size[piece], first))
 
     def ends_with(self, texts: pa.Array, end_id: int) -> "Runs":
@@ -219,11 +222,16 @@ def repair(tokens: np.ndarray, last: np.ndarray, terminals: int, least_count: in
     if that is more); rounds go on while the last one shortened the sequence
     by ``least_gain`` or more.
     """
-    seq, last = tokens.astype(np.uint32), last.copy()
+    # symbols are numbered without gaps, so that a pair mostly fits 32 bits
+    used_terminals = np.flatnonzero(np.bincount(tokens, minlength=terminals))
+    number = np.zeros(max(terminals, int(tokens.max(initial=0)) + 1), np.uint32)
+    number[used_terminals] = np.arange(len(used_terminals))
+    seq, last = number[tokens], last.copy()
     rules: list[np.ndarray] = []
-    n_symbols = terminals
+    n_symbols = len(used_terminals)
     while len(seq) > 1:
-        key = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+        kind, bits = (np.uint32, 16) if n_symbols <= 1 << 16 else (np.uint64, 32)
+        key = (seq[:-1].astype(kind) << kind(bits)) | seq[1:]
         joined = ~last[:-1]
         ordered = np.sort(key[joined])
         if not len(ordered):
@@ -237,14 +245,14 @@ def repair(tokens: np.ndarray, last: np.ndarray, terminals: int, least_count: in
         order = np.argsort(-counts, kind="stable")
         pairs = pairs[order]
         # rank of the pair at each place, by a hash table; of pairs that share a slot the most frequent is kept
-        shift = np.uint64(64 - table_bits)
-        factor = np.uint64(0x9E3779B97F4A7C15)
+        shift = kind(2 * bits - table_bits)
+        factor = kind(0x9E3779B97F4A7C15 >> (64 - 2 * bits))
         slots = np.full(1 << table_bits, len(pairs), np.int32)
         slot = (pairs * factor) >> shift
         slots[slot[::-1]] = np.arange(len(pairs) - 1, -1, -1, dtype=np.int32)
         rank = slots[(key * factor) >> shift]
         none = np.int32(len(pairs))
-        rank[np.append(pairs, np.uint64(0))[rank] != key] = none
+        rank[np.append(pairs, kind(0))[rank] != key] = none
         rank[~joined] = none
         # a place is replaced if its pair is more frequent than those that overlap it; the leftmost of equal ones
         chosen = rank < none
@@ -258,7 +266,7 @@ def repair(tokens: np.ndarray, last: np.ndarray, terminals: int, least_count: in
             break
         number = np.cumsum(kept) - 1 + n_symbols
         used = pairs[kept]
-        rules.append(np.stack([(used >> np.uint64(32)).astype(np.uint32), used.astype(np.uint32)], axis=1))
+        rules.append(np.stack([(used >> kind(bits)).astype(np.uint32), (used & kind((1 << bits) - 1)).astype(np.uint32)], axis=1))
         n_symbols += len(used)
         before = len(seq)
         seq[at] = number[rank[at]]
@@ -268,7 +276,8 @@ def repair(tokens: np.ndarray, last: np.ndarray, terminals: int, least_count: in
         seq, last = seq[keep], last[keep]
         if before - len(seq) < least_gain * before:
             break
-    return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+    symbols = np.append(used_terminals, terminals + np.arange(n_symbols - len(used_terminals))).astype(np.uint32)
+    return symbols[seq], last, symbols[np.concatenate(rules)] if rules else np.zeros((0, 2), np.uint32)
 
 
 def expansion_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
