@@ -84,6 +84,17 @@ def test_round_trip_and_random_access():
     assert shard.tokens(300).tolist() == docs[300]
 
 
+@pytest.mark.parametrize("terminals", [40, 65_530, 70_000])
+def test_pairs_of_more_symbols_than_16_bits(terminals):
+    rng = random.Random(5)
+    phrases = [[rng.randrange(terminals) for _ in range(8)] for _ in range(20)]
+    docs = [[t for _ in range(20) for t in rng.choice(phrases)] for _ in range(300)]
+    docs += [list(range(terminals)), [terminals - 1] * 100]
+    shard = shard_of(docs, terminals)
+    assert len(shard.rules) > 20 and len(shard.symbols) < terminals + 20_000
+    assert [t.tolist() for _, t in shard.documents()] == docs
+
+
 def test_pairs_never_span_documents():
     docs = [[5, 2]] * 400
     shard = shard_of(docs, 8)
