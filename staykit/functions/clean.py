@@ -26,6 +26,16 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def apart(col: Column | str) -> Column:
+    """The column itself, in a form that keeps its projection out of whole-stage code.
+
+    Whole-stage code makes one method of a projection.  With the 75 listing columns that has more than
+    8,000 bytes, and such a method the JVM never compiles: each row is interpreted.  A projection
+    with a higher-order function is generated apart, cut into methods that are compiled.
+    """
+    return F.transform(F.array(_c(col)), lambda x: x)[0]
+
+
 def null_tokens(col: Column | str) -> Column:
     """NULL for the NA tokens, the text itself otherwise."""
     c = _c(col)

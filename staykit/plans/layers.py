@@ -29,7 +29,7 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, build: Callable[[]
     path = _WRITTEN.get(key)
     if path is None:
         path = scratch_path(spark, f"layer-{name}")
-        build().write.mode("overwrite").parquet(path)
+        build().write.mode("overwrite").option("compression", "zstd").parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(path)
 

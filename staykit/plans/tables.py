@@ -106,7 +106,7 @@ def replace_table(df: DataFrame, path: str, partition_by=()) -> str:
     old = _committed(spark, path)[-1:]
     number = 1 + max((n for n, _ in before), default=0)
     folder = f"{path.rstrip('/')}/_v{number:09d}-{uuid.uuid4().hex[:12]}"
-    w = df.write
+    w = df.write.option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(folder)
@@ -119,7 +119,7 @@ def append_table(df: DataFrame, path: str, partition_by=()) -> str:
     """Add rows to a table; the folder they are in.  A table that is only ever appended to has no
     versions: its rows lie in its own folder, which Spark can read directly."""
     folder = current(df.sparkSession, path) or path
-    w = df.write.mode("append")
+    w = df.write.mode("append").option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(folder)
