@@ -38,6 +38,20 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return out.select(*[F.col(c) if c in keys else F.col(_FIRST)[c].alias(c) for c in df.columns])
 
 
+def _held_words(held: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column, Column]:
+    """(the words with bits of the keys of ``held``, the word of a row's key, its bit)."""
+    hashed = F.xxhash64(*[F.col(k) for k in keys])
+    place = F.pmod(F.call_function("shiftright", hashed, F.lit(6)), F.lit(WORDS))
+    bit = hashed.bitwiseAND(F.lit(63)).cast("int")
+    words = (held.select(place.alias("__word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("__bit"))
+             .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
+    return words, place, bit
+
+
+def _bit_set(bit: Column) -> Column:
+    return F.call_function("shiftright", F.col("__bits"), bit).bitwiseAND(F.lit(1)) == 1
+
+
 def may_be_held(df: DataFrame, held: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
     """``df`` with a flag: false only if the key of a row is none of ``held``.
 
@@ -46,16 +60,19 @@ def may_be_held(df: DataFrame, held: DataFrame, keys: Sequence[str], alias: str)
     a shuffle; the few with the flag (more of them as the bits fill up) are then looked at
     exactly.  NULL keys are hashed like values.
     """
-    hashed = F.xxhash64(*[F.col(k) for k in keys])
-    place = F.pmod(F.call_function("shiftright", hashed, F.lit(6)), F.lit(WORDS))
-    bit = hashed.bitwiseAND(F.lit(63)).cast("int")
-    words = (held.select(place.alias("__word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("__bit"))
-             .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
-    flag = F.coalesce(F.call_function("shiftright", F.col("__bits"), bit).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    words, place, bit = _held_words(held, keys)
+    flag = F.coalesce(_bit_set(bit), F.lit(False))
     return (df.withColumn("__word", place).join(F.broadcast(words), "__word", "left")
             .withColumn(alias, flag).select(*df.columns, alias))
 
 
+def divided(df: DataFrame, held: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is surely none of ``held``, the others), by the bits of :func:`may_be_held`."""
+    words, place, bit = _held_words(held, keys)
+    on = (place == F.col("__word")) & _bit_set(bit)
+    return df.join(F.broadcast(words), on, "left_anti"), df.join(F.broadcast(words), on, "left_semi")
+
+
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The keys held by more than one row (NULL equals NULL)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
@@ -73,9 +90,8 @@ def first_per_key_split(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     The frame is read three times (the first time its keys only), so it should be a
     table, not a long computation.  NULL keys are equal to each other, as in grouping.
     """
-    marked = may_be_held(df, repeated_keys(df, keys), keys, "__may")
-    return (marked.filter(~F.col("__may")).drop("__may")
-            .unionByName(first_per_key(marked.filter("__may").drop("__may"), keys, order)))
+    unique, doubtful = divided(df, repeated_keys(df, keys), keys)
+    return unique.unionByName(first_per_key(doubtful, keys, order))
 
 
 def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str],
@@ -83,9 +99,7 @@ def insert_if_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str],
     """Existing rows plus the first new row of every key not yet present.
 
     ``split`` says that ``new`` is a written table with few repeated keys."""
-    fresh = (first_per_key_split if split else first_per_key)(new, keys, order)
-    added = fresh.join(existing.select(*keys), on=list(keys), how="left_anti")
-    return existing.unionByName(added.select(*existing.columns))
+    return existing.unionByName(rows_to_add(new, existing, keys, order, split).select(*existing.columns))
 
 
 def rows_to_add(new: DataFrame, existing: DataFrame, keys: Sequence[str],
@@ -93,9 +107,15 @@ def rows_to_add(new: DataFrame, existing: DataFrame, keys: Sequence[str],
     """Only the rows ``insert_if_absent`` would append (for append writes).
 
     ``split`` says that ``new`` is a written table with few repeated keys, ``keyed``
-    that it holds one row a key as it is."""
-    fresh = new if keyed else (first_per_key_split if split else first_per_key)(new, keys, order)
-    return fresh.join(existing.select(*keys), on=list(keys), how="left_anti")
+    that it holds one row a key as it is.  With ``split`` rows whose key is surely
+    unique and not there yet pass without a shuffle; the others are reduced and compared."""
+    held = existing.select(*keys)
+    if not split or keyed:
+        fresh = new if keyed else first_per_key(new, keys, order)
+        return fresh.join(held, on=list(keys), how="left_anti")
+    marked = may_be_held(may_be_held(new, repeated_keys(new, keys), keys, "__repeated"), held, keys, "__there")
+    passed, doubtful = (marked.filter(c).select(*new.columns) for c in ("not (__repeated or __there)", "__repeated or __there"))
+    return passed.unionByName(first_per_key(doubtful, keys, order).join(held, on=list(keys), how="left_anti").select(*new.columns))
 
 
 def _any_null(keys: Iterable[str]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import norm_key, text_or_missing
-from .keys import first_per_key
+from .keys import divided, first_per_key
 
 LOOKUP_KEY = "_place_key"
 
@@ -49,11 +49,14 @@ def exclude_moved(raw: DataFrame, moved: DataFrame | None = None, id_col: str =
 
     A left anti join, not ``NOT IN``: ids are NOT NULL, so the null-aware
     form (which wants a broadcast) is not needed and a large moved set can
-    shuffle.
+    shuffle.  Only rows whose id may be one of them (see :func:`divided`) are
+    looked at exactly; the others pass without a shuffle.
     """
     if moved is None:
         moved = moved_ids(raw, id_col, place_col)
-    return raw.join(moved, id_col, "left_anti")
+    moved = moved.select(id_col)
+    stayed, doubtful = divided(raw, moved, [id_col])
+    return stayed.unionByName(doubtful.join(moved, id_col, "left_anti").select(*raw.columns))
 
 
 def reduced_lookup(location: DataFrame, trim: bool, state: str | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import host_city, price_mixed_format, snapshot_date
+from ..functions.clean import apart, host_city, price_mixed_format, snapshot_date
 from ..operators.keys import first_per_key, first_per_key_split, may_be_held, repeated_keys
 from ..operators.listings import exclude_moved, lookup_region, moved_ids
 from ..schemas import (CENSUS_AGE_55_PLUS, CENSUS_AGE_UNDER_55, CENSUS_COLUMNS, CENSUS_KEY,
@@ -19,7 +19,7 @@ def load_raw(snapshots: DataFrame) -> DataFrame:
 
     ``snapshots`` should be a written (staged) table: its keys are counted first,
     and only keys met more than once are reduced."""
-    return first_per_key_split(snapshots, ["id", "filename"])
+    return first_per_key_split(snapshots, ["id", "filename"]).withColumn("filename", apart("filename"))
 
 
 def build_fact(raw: DataFrame, location: DataFrame, moved: DataFrame | None = None) -> DataFrame:
@@ -50,7 +50,7 @@ def build_fact(raw: DataFrame, location: DataFrame, moved: DataFrame | None = No
     marked = may_be_held(dated, repeated_keys(dated, FACT_KEY), FACT_KEY, "_repeated")
     marked = may_be_held(marked, moved.select("id"), ["id"], "_moved")
     passed, doubtful = marked.filter("not (_repeated or _moved)"), marked.filter("_repeated or _moved")
-    kept = first_per_key(rows(exclude_moved(doubtful, moved)), FACT_KEY, order=["_date", "filename"])
+    kept = first_per_key(rows(doubtful.join(moved.select("id"), "id", "left_anti")), FACT_KEY, order=["_date", "filename"])
     return rows(passed).select(*FACT_COLUMNS).unionByName(kept.select(*FACT_COLUMNS))
 
 
@@ -67,14 +67,16 @@ def owner_rows(raw: DataFrame, location: DataFrame, moved: DataFrame | None = No
     town is the first comma-separated part of the host location, upper-cased
     (stored untrimmed, matched trimmed).  Two aggregates of kept rows, both
     combined map-side: the first attributes of each host, and its number of
-    distinct listings; the lookup joins to one row a host.
+    distinct listings (by themselves, so that only ids are shuffled for them); the
+    lookup joins to one row a host.
     """
     kept = exclude_moved(raw, moved)
     attrs = ["host_name", "host_location", "host_total_listings_count", "host_is_superhost"]
     dated = kept.select("host_id", "id", *attrs, snapshot_date("filename").alias("_date"))
-    one = dated.groupBy("host_id").agg(
-        F.min(F.struct("_date", "id", *attrs)).alias("_first"), F.countDistinct("id").alias("host_tot_list_new"))
-    hosts = one.select("host_id", *[F.col("_first")[c].alias(c) for c in attrs], "host_tot_list_new")
+    one = dated.groupBy("host_id").agg(F.min(F.struct("_date", "id", *attrs)).alias("_first"))
+    listed = host_listing_count(kept).withColumnRenamed("host_id", "_host")
+    hosts = one.join(listed, F.col("host_id").eqNullSafe(F.col("_host"))).select(
+        "host_id", *[F.col("_first")[c].alias(c) for c in attrs], "host_tot_list_new")
     hosts = hosts.withColumn("host_loc_cleaned", host_city("host_location"))
     return lookup_region(hosts, F.split_part(F.col("host_location"), F.lit(","), F.lit(1)), location,
                          trim=True).select(*OWNER_COLUMNS)
